@@ -277,7 +277,8 @@ def score_prompts(
     rows = df
     allowed: Column | list[str] | None = None
     if isinstance(options, str):
-        if df.schema[options].dataType != T.ArrayType(T.StringType()):
+        kind = df.schema[options].dataType
+        if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType)):
             raise InvalidInput("the options column must be an array of strings")
         allowed = F.col(options)
         inputs["options"] = options
