@@ -18,7 +18,7 @@ def row_position(spark, sf):
 def row_position_ranges(spark, sf):
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    out = with_row_position(items, "row_position", keys, rows_per_range=5_000)
+    out = with_row_position(items, "row_position", keys)
     return out.select("l_orderkey", "l_linenumber", "row_position")
 
 

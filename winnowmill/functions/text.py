@@ -158,8 +158,9 @@ def regex_extract_first(col: Column | str, pattern: str) -> Column:
     groups = re.compile(pattern).groups
     if groups > 1:
         raise InvalidInput("an extraction pattern may have one group at most")
-    found = F.regexp_extract_all(_as_column(col), F.lit(java_pattern(pattern)), F.lit(groups))
-    return F.try_element_at(found, F.lit(1))
+    java, text = java_pattern(pattern), _as_column(col)
+    # Both searches end at the first match, where listing all matches would read the whole text.
+    return F.when(text.rlike(java), F.regexp_extract(text, java, groups))
 
 
 def regex_replace_chain(col: Column | str, pairs: Replacement | list[Replacement]) -> Column:

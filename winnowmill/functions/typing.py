@@ -14,6 +14,8 @@ TRUE_WORDS = ["true", "t", "yes", "1", "1.0"]
 FALSE_WORDS = ["false", "f", "no", "0", "0.0"]
 MISSING_WORDS = ["None", "none", "null", "NULL"]
 
+_NUMBER = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
+
 COLUMN_TYPES = ("string", "integer", "float", "boolean", "datetime", "image_external")
 
 
@@ -21,16 +23,23 @@ def _as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _number(text: Column) -> Column:
+    """Text as a double. A cast that fails costs an exception inside Spark, so the form is checked first."""
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def cast_integer(col: Column | str) -> Column:
     """Whole numbers only: ``1.0`` is accepted, ``0.8`` is not."""
     text = F.trim(_as_column(col).cast("string"))
-    number = text.try_cast("double")
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), whole)
+    # 18 digits always fit; longer numbers and fractions take the checked casts.
+    small = F.when(text.rlike(r"^[+-]?\d{1,18}$"), text.cast("bigint"))
+    long = F.when(text.rlike(r"^[+-]?\d{19,}$"), text.try_cast("bigint"))
+    number = F.when(text.rlike(r"[^\d+-]"), _number(text))
+    return F.coalesce(small, long, F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def cast_float(col: Column | str) -> Column:
-    return F.trim(_as_column(col).cast("string")).try_cast("double")
+    return _number(F.trim(_as_column(col).cast("string")))
 
 
 def cast_boolean(col: Column | str) -> Column:

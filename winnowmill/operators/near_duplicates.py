@@ -16,44 +16,66 @@ from ..plans.skew import attach_group_values
 SHINGLE_WORDS = 5
 PRIME = (1 << 31) - 1  # modulus of the hash family (a * x + b) mod p
 SEED = 20_240_101
+# Ids up to this number, about 8 MB, are sent to every executor instead of shuffling the texts.
+BROADCAST_IDS = 1_000_000
 
 
 def normalized_text(col: Column | str) -> Column:
     """Lower case, white space runs as one blank, none at the ends."""
-    text = F.col(col) if isinstance(col, str) else col
-    return F.trim(F.regexp_replace(F.lower(text), r"[ \t\n\r\f\x0B]+", " "))
+    text = F.lower(F.col(col) if isinstance(col, str) else col)
+    for space in "\t\n\r\f\v":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    # Most texts have single blanks by now and are spared the regular expression.
+    return F.trim(F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text))
 
 
-def exact_duplicates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, is_near_duplicate, near_duplicate_cluster_id)``; a cluster is named by its smallest id.
-
-    Texts are compared by digest. Rows without text are in no cluster. A text that fills a large part
-    of the table is aggregated per task and joined back by a bounded broadcast.
-    """
-    digests = df.select(F.col(id_col), F.md5(normalized_text(text_col)).alias("__digest"))
+def _with_exact_clusters(digests: DataFrame, id_col: str) -> DataFrame:
+    """Adds ``__first``, the smallest id with the same digest, to rows that are not alone with theirs."""
     groups = (
         digests.where(F.col("__digest").isNotNull())
         .groupBy("__digest")
         .agg(F.count("*").alias("__n"), F.min(id_col).alias("__first"))
         .where(F.col("__n") > 1)
     )
-    flagged = attach_group_values(digests, groups, "__digest", "__n", id_col)
-    return flagged.select(
+    return attach_group_values(digests, groups, "__digest", "__n", id_col).drop("__n")
+
+
+def exact_duplicates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, is_near_duplicate, near_duplicate_cluster_id)``; a cluster is named by its smallest id.
+
+    The texts are read once and kept as digests in the checkpoint folder. Rows without text are in no
+    cluster. A text that fills a large part of the table is aggregated per task and joined back by a
+    bounded broadcast.
+    """
+    digests = durable(df.select(F.col(id_col), F.md5(normalized_text(text_col)).alias("__digest")))
+    return _with_exact_clusters(digests, id_col).select(
         id_col,
         F.col("__first").isNotNull().alias("is_near_duplicate"),
         F.col("__first").alias("near_duplicate_cluster_id"),
     )
 
 
+def _words(df: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
+    """The given columns and the words of each text.
+
+    The words are a column of their own because an expression inside a lambda is evaluated anew for
+    every element.
+    """
+    normalized = df.select(*columns, normalized_text(text_col).alias("__text"))
+    return normalized.select("*", F.split("__text", " ").alias("__words"))
+
+
+def _shingle_hashes(words: int) -> Column:
+    """Distinct hashes of all runs of ``words`` words; a shorter text is one run, an empty one has none."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size("__words") - words + 1, F.lit(1)))
+    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("__words", i, words)))
+    return F.when(F.col("__text") != "", F.array_distinct(runs))
+
+
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(id, hashes)``: distinct hashes of all runs of ``words`` words; a shorter text is one run."""
-    # The words are a column of their own: an expression inside a lambda is evaluated per element.
-    tokens = df.select(
-        F.col(id_col).cast("bigint").alias("id"), F.split(normalized_text(text_col), " ").alias("tokens")
-    ).where(F.array_join("tokens", "") != "")
-    starts = F.sequence(F.lit(1), F.greatest(F.size("tokens") - words + 1, F.lit(1)))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("tokens", i, words)))
-    return tokens.select("id", F.array_distinct(runs).alias("hashes"))
+    """``(id, hashes)`` of every text that is not empty."""
+    rows = _words(df, text_col, F.col(id_col).cast("bigint").alias("id"))
+    return rows.select("id", _shingle_hashes(words).alias("hashes")).where(F.col("hashes").isNotNull())
 
 
 def _band_keys(hashes: Column, bands: int, rows_per_band: int) -> Column:
@@ -76,7 +98,7 @@ def _band_keys(hashes: Column, bands: int, rows_per_band: int) -> Column:
             return ((low.reshape(bands, rows_per_band) + 1) * mix).sum(axis=1) * 1_000_003 + number
 
         for values in batches:
-            yield pd.Series([keys(v) for v in values])
+            yield pd.Series([None if v is None else keys(v) for v in values])
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, returnType="array<bigint>")(hashes)
@@ -87,37 +109,27 @@ def _jaccard(a: Column, b: Column) -> Column:
     return F.try_divide(shared.cast("double"), F.size(a) + F.size(b) - shared)
 
 
-def similar_pairs_by_leader(
-    sets: DataFrame, threshold: float, bands: int, rows_per_band: int
-) -> DataFrame:
-    """Verified edges between sets that share a MinHash band.
+def _sets_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Shingle sets of the listed rows. Few ids are broadcast, so that texts need not be shuffled."""
+    wanted = ids.select(F.col("id").alias(id_col))
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return durable(shingle_sets(df.join(wanted, id_col, "left_semi"), id_col, text_col, words))
 
-    ``sets`` has ``id`` and ``hashes`` (distinct shingle hashes). Within a band bucket every member is
-    compared with the bucket's leader, its smallest id. Members alike enough are settled; the others
-    form the bucket anew and elect the next leader, until nobody is left. Each member thus meets
-    leaders only, never all others, and no member is skipped, whatever the size of a bucket.
-    """
-    keys = _band_keys(F.col("hashes"), bands, rows_per_band)
-    waiting = durable(sets.select("id", F.explode(keys).alias("bucket")))
-    edges = None
-    while True:
-        groups = waiting.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
-        led = attach_group_values(waiting, groups, "bucket", "n", "id", how="inner").where("id <> leader")
-        pairs = led.select("id", "leader").distinct()
-        compared = (
-            pairs.join(sets.select("id", F.col("hashes").alias("own")), "id")
-            .join(sets.select(F.col("id").alias("leader"), F.col("hashes").alias("lead")), "leader")
-            .select("id", "leader", (_jaccard(F.col("own"), F.col("lead")) >= threshold).alias("alike"))
-        )
-        compared = durable(compared)
-        found = compared.where("alike").select("id", "leader")
-        edges = found if edges is None else edges.union(found)
-        # Only buckets with a member that its leader did not settle go on.
-        waiting = durable(
-            led.join(compared.where(~F.col("alike")), ["id", "leader"], "left_semi").select("id", "bucket")
-        )
-        if waiting.isEmpty():
-            return edges
+
+def _led(waiting: DataFrame) -> DataFrame:
+    """Members of each bucket of two or more with the bucket's leader, its smallest id."""
+    groups = waiting.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
+    led = attach_group_values(waiting, groups, "bucket", "n", "id", how="inner").where("id <> leader")
+    return led.select("id", "bucket", "leader")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Whether the shingle sets of each pair reach the threshold."""
+    own = sets.select("id", F.col("hashes").alias("own"))
+    lead = sets.select(F.col("id").alias("leader"), F.col("hashes").alias("lead"))
+    alike = _jaccard(F.col("own"), F.col("lead")) >= threshold
+    return pairs.join(own, "id").join(lead, "leader").select("id", "leader", alike.alias("alike"))
 
 
 def near_duplicates(
@@ -131,20 +143,48 @@ def near_duplicates(
 ) -> DataFrame:
     """``(id, is_near_duplicate, near_duplicate_cluster_id)`` with clusters of equal and alike texts.
 
-    Equal texts are folded first, so only one text of each group is shingled. Alike means a Jaccard
-    similarity of the word shingles of at least ``threshold``, found through shared MinHash bands;
-    clusters are connected components named by their smallest id. Two texts at similarity s share a
-    band with probability 1 - (1 - s^rows)^bands.
+    Alike means a Jaccard similarity of the word shingles of at least ``threshold`` between texts that
+    share a MinHash band; clusters are connected components named by their smallest id. Two texts of
+    similarity s share a band with probability 1 - (1 - s^rows_per_band)^bands.
+
+    One pass over the texts leaves a digest and the band keys of each row. Equal texts are folded, and
+    the rest proceeds on one row per text. Within a band bucket every member is compared with the
+    bucket's leader. Members alike enough are settled; the others form the bucket anew and elect the
+    next leader, until nobody is left. So a member meets leaders only, never all others, and none is
+    skipped, however large its bucket. Only texts that met in a bucket are read a second time.
     """
-    exact = durable(exact_duplicates(df, id_col, text_col).withColumnRenamed("near_duplicate_cluster_id", "__first"))
-    firsts = exact.where(F.coalesce(F.col("__first") == F.col(id_col), F.lit(True))).select(id_col)
-    sets = durable(shingle_sets(df.join(firsts, id_col, "left_semi"), id_col, text_col, words))
-    edges = similar_pairs_by_leader(sets, threshold, bands, rows_per_band)
-    clusters = connected_components(edges, "id", "leader")
+    rows = _words(df, text_col, id_col).withColumn("__hashes", _shingle_hashes(words))
+    scanned = durable(
+        rows.select(
+            id_col,
+            F.md5("__text").alias("__digest"),
+            _band_keys(F.col("__hashes"), bands, rows_per_band).alias("__bands"),
+        )
+    )
+    exact = durable(_with_exact_clusters(scanned.select(id_col, "__digest"), id_col).drop("__digest"))
+    copies = exact.where(F.col("__first") != F.col(id_col)).select(id_col)
+    singles = scanned.select(id_col, "__bands").join(copies, id_col, "left_anti")
+    waiting = singles.select(F.col(id_col).cast("bigint").alias("id"), F.explode("__bands").alias("bucket"))
+    led = durable(_led(waiting))
+    met = led.select("id").union(led.select("leader")).distinct()
+    sets = _sets_of(df, met, id_col, text_col, words)
+    edges = None
+    while True:
+        compared = durable(_verified(led.select("id", "leader").distinct(), sets, threshold))
+        found = compared.where("alike").select("id", "leader")
+        edges = found if edges is None else edges.union(found)
+        unsettled = compared.where(~F.col("alike"))
+        if unsettled.isEmpty():
+            break
+        led = durable(_led(led.join(unsettled, ["id", "leader"], "left_semi").select("id", "bucket")))
+        if led.isEmpty():
+            break
+    clusters = connected_components(edges, "id", "leader").select(
+        F.col("node").alias("__node"), F.col("component").alias("__cluster")
+    )
     linked = exact.withColumn("__node", F.coalesce("__first", F.col(id_col)))
-    sizes = clusters.select(F.col("node").alias("__node"), F.col("component").alias("__cluster"))
     # One row per node; a hot node is a group of equal texts, spread by its row ids.
-    counted = linked.groupBy("__node").agg(F.count("*").alias("__n")).join(sizes, "__node")
+    counted = linked.groupBy("__node").agg(F.count("*").alias("__n")).join(clusters, "__node")
     joined = attach_group_values(linked, counted, "__node", "__n", id_col)
     cluster = F.coalesce("__cluster", "__first")
     return joined.select(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import durable
+
 _LOCAL_INDEX_BITS = 33  # layout of monotonically_increasing_id: partition above, row index below
-_MAX_RANGES = 4096
-_SAMPLES_PER_RANGE = 60
 
 
 def _offsets(df: DataFrame, group: str) -> DataFrame:
@@ -21,62 +21,30 @@ def _offsets(df: DataFrame, group: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, f"{group} bigint, __offset bigint")
 
 
-def _range_number(keys: Column, bounds: list[Column]) -> Column:
-    """How many bounds lie at or below the key, looked up in two levels."""
-    step = max(1, int(len(bounds) ** 0.5))
-    coarse = F.array(*bounds[::step])
-    chunks = F.array(*[F.array(*bounds[i : i + step]) for i in range(0, len(bounds), step)])
-    chunk = F.size(F.filter(coarse, lambda b: b <= keys))
-    inner = F.size(F.filter(F.try_element_at(chunks, chunk), lambda b: b <= keys))
-    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * step + inner).cast("bigint")
-
-
-def _key_bounds(df: DataFrame, keys: Sequence[str], total: int, ranges: int) -> list[tuple]:
-    wanted = ranges * _SAMPLES_PER_RANGE
-    sample = df.select(*keys)
-    if total > wanted:
-        sample = sample.sample(fraction=wanted / total, seed=11)
-    # The sample holds about `wanted` keys, a number that does not grow with the data.
-    rows = sample.orderBy(*keys).limit(2 * wanted).collect()
-    picks = [rows[len(rows) * i // ranges] for i in range(1, ranges)] if rows else []
-    return list(dict.fromkeys(tuple(r) for r in picks))
+def _numbered(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Position = index within the partition + rows of all partitions before it."""
+    local_mask = (1 << _LOCAL_INDEX_BITS) - 1
+    tagged = df.withColumn("__mid", F.monotonically_increasing_id())
+    tagged = tagged.withColumn("__part", F.shiftright("__mid", _LOCAL_INDEX_BITS))
+    local = F.col("__mid").bitwiseAND(F.lit(local_mask))
+    return tagged.join(F.broadcast(_offsets(tagged.select("__part"), "__part")), "__part").select(
+        *columns, (local + F.col("__offset")).cast("bigint").alias(name)
+    )
 
 
 def with_row_position(
-    df: DataFrame,
-    name: str = "row_position",
-    order_by: Sequence[str] | str | None = None,
-    rows_per_range: int = 250_000,
+    df: DataFrame, name: str = "row_position", order_by: Sequence[str] | str | None = None
 ) -> DataFrame:
     """Add the 0-based position of each row as ``name``.
 
-    With ``order_by`` (columns that identify a row) the rows are cut into key ranges of about
-    ``rows_per_range`` rows, each range is numbered on its own and shifted by the rows before it.
-    Without it, the position follows the order in which Spark reads the files.
+    With ``order_by`` the rows are range-partitioned and sorted, kept in the checkpoint folder so that
+    counting and numbering see the same partitions, and numbered per partition. Ties are ordered by a
+    hash of the row, which also lets a frequent key span several partitions. Without ``order_by``, the
+    position follows the order in which Spark reads the files.
     """
     if order_by is None:
-        local_mask = (1 << _LOCAL_INDEX_BITS) - 1
-        numbered = df.withColumn("__mid", F.monotonically_increasing_id())
-        numbered = numbered.withColumn("__part", F.shiftright("__mid", _LOCAL_INDEX_BITS))
-        local = F.col("__mid").bitwiseAND(F.lit(local_mask))
-        offsets = _offsets(numbered.select("__part"), "__part")
-        return numbered.join(F.broadcast(offsets), "__part").select(
-            *df.columns, (local + F.col("__offset")).cast("bigint").alias(name)
-        )
-
+        return _numbered(df, df.columns, name)
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    total = df.count()
-    ranges = min(_MAX_RANGES, max(1, total // rows_per_range))
-    bounds = _key_bounds(df, keys, total, ranges) if ranges > 1 else []
-    types = dict(df.dtypes)
-    key = F.struct(*[F.col(k) for k in keys])
-    literals = [
-        F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, bound)]) for bound in bounds
-    ]
-    number = _range_number(key, literals) if literals else F.lit(0).cast("bigint")
-    ranged = df.withColumn("__range", number)
-    offsets = _offsets(ranged.select("__range"), "__range")
-    within = F.row_number().over(Window.partitionBy("__range").orderBy(*keys))
-    return ranged.join(F.broadcast(offsets), "__range").select(
-        *df.columns, (F.col("__offset") + within - 1).cast("bigint").alias(name)
-    )
+    ordered = df.withColumn("__tie", F.xxhash64(*df.columns))
+    ordered = ordered.repartitionByRange(*keys, "__tie").sortWithinPartitions(*keys, "__tie")
+    return _numbered(durable(ordered.drop("__tie")), df.columns, name)
