@@ -14,10 +14,12 @@ from ..plans.lineage import durable
 from ..plans.skew import attach_group_values
 
 SHINGLE_WORDS = 5
-PRIME = (1 << 31) - 1  # modulus of the hash family (a * x + b) mod p
+MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier, the golden ratio in 64 bits
 SEED = 20_240_101
 # Ids up to this number, about 8 MB, are sent to every executor instead of shuffling the texts.
 BROADCAST_IDS = 1_000_000
+# Once the sets still to be compared hold this few hashes (80 MB), their buckets finish in one job.
+FINISH_HASHES = 10_000_000
 
 
 def normalized_text(col: Column | str) -> Column:
@@ -55,55 +57,63 @@ def exact_duplicates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _words(df: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
-    """The given columns and the words of each text.
-
-    The words are a column of their own because an expression inside a lambda is evaluated anew for
-    every element.
-    """
+def _word_hashes(df: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
+    """The given columns, the normalized text and the hash of each of its words (null for no words)."""
     normalized = df.select(*columns, normalized_text(text_col).alias("__text"))
-    return normalized.select("*", F.split("__text", " ").alias("__words"))
-
-
-def _shingle_hashes(words: int) -> Column:
-    """Distinct hashes of all runs of ``words`` words; a shorter text is one run, an empty one has none."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size("__words") - words + 1, F.lit(1)))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice("__words", i, words)))
-    return F.when(F.col("__text") != "", F.array_distinct(runs))
-
+    # The words are a column of their own: an expression inside a lambda is evaluated per element.
+    split = normalized.select("*", F.when(F.col("__text") != "", F.split("__text", " ")).alias("__words"))
+    hashed = F.transform("__words", lambda w: F.xxhash64(w))
+    return split.select(*normalized.columns, hashed.alias("__word_hashes"))
 
-def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(id, hashes)`` of every text that is not empty."""
-    rows = _words(df, text_col, F.col(id_col).cast("bigint").alias("id"))
-    return rows.select("id", _shingle_hashes(words).alias("hashes")).where(F.col("hashes").isNotNull())
 
+def _shingles(word_hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of ``words`` words; a shorter text is one run. Products wrap at 64 bits."""
+    h = word_hashes.astype(np.int64).view(np.uint64)
+    width = min(words, len(h))
+    runs = np.full(len(h) - width + 1, width, dtype=np.uint64)
+    for j in range(width):
+        runs = runs * MIX + h[j : len(h) - width + 1 + j]
+    return (runs ^ (runs >> np.uint64(32))) * MIX
 
-def _band_keys(hashes: Column, bands: int, rows_per_band: int) -> Column:
-    """Per band, one key made of ``rows_per_band`` MinHash values of the shingle hashes."""
 
+def _per_text(function, hashes: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        random = np.random.default_rng(SEED)
-        a = random.integers(1, PRIME, bands * rows_per_band, dtype=np.int64)
-        b = random.integers(0, PRIME, bands * rows_per_band, dtype=np.int64)
-        mix = random.integers(1, 2**62, rows_per_band, dtype=np.int64)
-        number = np.arange(bands, dtype=np.int64)
-
-        def keys(values: np.ndarray) -> np.ndarray:
-            small = values.astype(np.int64) % PRIME
-            low = np.full(len(a), PRIME, dtype=np.int64)
-            for start in range(0, len(small), 4096):  # bounds the working matrix for long texts
-                part = (small[start : start + 4096, None] * a + b) % PRIME
-                low = np.minimum(low, part.min(axis=0))
-            # Wrapping products serve as a 64-bit digest of the band.
-            return ((low.reshape(bands, rows_per_band) + 1) * mix).sum(axis=1) * 1_000_003 + number
-
         for values in batches:
-            yield pd.Series([None if v is None else keys(v) for v in values])
+            yield pd.Series([None if v is None else function(v) for v in values])
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, returnType="array<bigint>")(hashes)
 
 
+def _band_keys(word_hashes: Column, words: int, bands: int, rows_per_band: int) -> Column:
+    """Per band, one key made of ``rows_per_band`` MinHash values of the shingles."""
+    random = np.random.default_rng(SEED)
+    count = bands * rows_per_band
+    factor = random.integers(0, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = random.integers(0, 2**63, count, dtype=np.uint64)
+    digest = random.integers(0, 2**63, rows_per_band, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    number = np.arange(bands, dtype=np.uint64)
+
+    def keys(values: np.ndarray) -> np.ndarray:
+        shingles = _shingles(values, words)
+        low = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for start in range(0, len(shingles), 4096):  # bounds the working matrix for long texts
+            part = shingles[start : start + 4096, None] * factor + shift
+            low = np.minimum(low, part.min(axis=0))
+        mixed = (low ^ (low >> np.uint64(29))).reshape(bands, rows_per_band) * digest
+        return (mixed.sum(axis=1, dtype=np.uint64) * MIX + number).view(np.int64)
+
+    return _per_text(keys, word_hashes)
+
+
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS) -> DataFrame:
+    """``(id, hashes)``: distinct hashes of the word shingles of every text that is not empty."""
+    rows = _word_hashes(df, text_col, F.col(id_col).cast("bigint").alias("id"))
+    sets = _per_text(lambda v: np.unique(_shingles(v, words)).view(np.int64), F.col("__word_hashes"))
+    # The filter reads the finished sets; on the word hashes it would be pushed down and compute them twice.
+    return rows.select("id", sets.alias("hashes")).where(F.col("hashes").isNotNull())
+
+
 def _jaccard(a: Column, b: Column) -> Column:
     shared = F.size(F.array_intersect(a, b))
     return F.try_divide(shared.cast("double"), F.size(a) + F.size(b) - shared)
@@ -132,6 +142,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(own, "id").join(lead, "leader").select("id", "leader", alike.alias("alike"))
 
 
+def _remaining_edges(members: DataFrame, threshold: float) -> DataFrame:
+    """The remaining elections of all buckets in one go; the caller has checked that the data is small."""
+
+    def elect(bucket: pd.DataFrame) -> pd.DataFrame:
+        waiting = bucket.sort_values("id")[["id", "hashes"]].to_numpy().tolist()
+        edges = []
+        while len(waiting) > 1:
+            (leader, lead), *others = waiting
+            waiting = []
+            for node, own in others:
+                shared = len(np.intersect1d(own, lead, assume_unique=True))
+                if shared / (len(own) + len(lead) - shared) >= threshold:
+                    edges.append((node, leader))
+                else:
+                    waiting.append((node, own))
+        return pd.DataFrame(edges, columns=["id", "leader"], dtype="int64")
+
+    return members.groupBy("bucket").applyInPandas(elect, "id bigint, leader bigint").distinct()
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str,
@@ -153,12 +183,11 @@ def near_duplicates(
     next leader, until nobody is left. So a member meets leaders only, never all others, and none is
     skipped, however large its bucket. Only texts that met in a bucket are read a second time.
     """
-    rows = _words(df, text_col, id_col).withColumn("__hashes", _shingle_hashes(words))
     scanned = durable(
-        rows.select(
+        _word_hashes(df, text_col, id_col).select(
             id_col,
             F.md5("__text").alias("__digest"),
-            _band_keys(F.col("__hashes"), bands, rows_per_band).alias("__bands"),
+            _band_keys(F.col("__word_hashes"), words, bands, rows_per_band).alias("__bands"),
         )
     )
     exact = durable(_with_exact_clusters(scanned.select(id_col, "__digest"), id_col).drop("__digest"))
@@ -176,7 +205,12 @@ def near_duplicates(
         unsettled = compared.where(~F.col("alike"))
         if unsettled.isEmpty():
             break
-        led = durable(_led(led.join(unsettled, ["id", "leader"], "left_semi").select("id", "bucket")))
+        rest = durable(led.join(unsettled, ["id", "leader"], "left_semi").select("id", "bucket"))
+        members = rest.join(sets, "id")
+        if members.agg(F.sum(F.size("hashes")).alias("n")).first()["n"] <= FINISH_HASHES:
+            edges = edges.union(_remaining_edges(members, threshold))
+            break
+        led = durable(_led(rest))
         if led.isEmpty():
             break
     clusters = connected_components(edges, "id", "leader").select(
