@@ -31,11 +31,14 @@ def _number(text: Column) -> Column:
 def cast_integer(col: Column | str) -> Column:
     """Whole numbers only: ``1.0`` is accepted, ``0.8`` is not."""
     text = F.trim(_as_column(col).cast("string"))
-    # 18 digits always fit; longer numbers and fractions take the checked casts.
-    small = F.when(text.rlike(r"^[+-]?\d{1,18}$"), text.cast("bigint"))
-    long = F.when(text.rlike(r"^[+-]?\d{19,}$"), text.try_cast("bigint"))
-    number = F.when(text.rlike(r"[^\d+-]"), _number(text))
-    return F.coalesce(small, long, F.when(number == F.floor(number), number.try_cast("bigint")))
+    # Up to 18 digits always fit, which covers nearly all data; the rest takes the checked casts.
+    plain = F.regexp_extract(text, r"^([+-]?\d{1,18})(\.0*)?$", 1)
+    unusual = F.when(text.rlike(r"[eE]|\d{19}|^[+-]?\."), text)
+    number = _number(unusual)
+    long = F.when(unusual.rlike(r"^[+-]?\d+$"), unusual.try_cast("bigint"))
+    return F.when(plain != "", plain.cast("bigint")).otherwise(
+        F.coalesce(long, F.when(number == F.floor(number), number.try_cast("bigint")))
+    )
 
 
 def cast_float(col: Column | str) -> Column:
@@ -50,13 +53,11 @@ def cast_boolean(col: Column | str) -> Column:
 def cast_datetime(col: Column | str) -> Column:
     """Date text in ISO form (optional zone offset), or seconds since 1970 as a number."""
     text = F.trim(_as_column(col).cast("string"))
-    epoch = F.when(text.rlike(r"^[+-]?\d{5,}(\.\d*)?([eE]\+?\d+)?$"), text.try_cast("double"))
+    seconds = F.timestamp_micros((text.try_cast("double") * 1_000_000).try_cast("bigint"))
     # "2015-02-24 11:35:52 -0800" -> "2015-02-24 11:35:52-08:00"
-    iso = F.regexp_replace(text, r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2")
-    dated = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d"), iso).otherwise(text)
-    return F.coalesce(
-        F.when(epoch.isNotNull(), F.timestamp_micros((epoch * 1_000_000).try_cast("bigint"))),
-        F.when(text.rlike(r"^\d{4}-\d{1,2}"), dated.try_cast("timestamp")),
+    iso = F.regexp_replace(text, r"^(\d+-\d+-\d+[ T]\d\S*)\s*([+-]\d{2}):?(\d{2})$", "$1$2:$3")
+    return F.when(text.rlike(r"^[+-]?\d{5,}(\.\d*)?([eE]\+?\d+)?$"), seconds).when(
+        text.rlike(r"^\d{4}-\d{1,2}"), iso.try_cast("timestamp")
     )
 
 

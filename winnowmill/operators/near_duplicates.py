@@ -107,11 +107,13 @@ def _band_keys(word_hashes: Column, words: int, bands: int, rows_per_band: int)
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(id, hashes)``: distinct hashes of the word shingles of every text that is not empty."""
+    """``(id, hashes)``: distinct hashes of the word shingles; null for an empty text.
+
+    There is no filter on the result here: pushed below the projection it would compute the sets twice.
+    """
     rows = _word_hashes(df, text_col, F.col(id_col).cast("bigint").alias("id"))
     sets = _per_text(lambda v: np.unique(_shingles(v, words)).view(np.int64), F.col("__word_hashes"))
-    # The filter reads the finished sets; on the word hashes it would be pushed down and compute them twice.
-    return rows.select("id", sets.alias("hashes")).where(F.col("hashes").isNotNull())
+    return rows.select("id", sets.alias("hashes"))
 
 
 def _jaccard(a: Column, b: Column) -> Column:
