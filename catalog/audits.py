@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from winnowmill.operators import audit, neighbors
+from winnowmill.plans.lineage import durable
 
 from .registry import query, rounded, rounded_array, table
 
@@ -36,7 +37,8 @@ audited AS (
 
 
 def _neighbors(spark, sf):
-    return neighbors.nearest_neighbors(table(spark, sf, "embeddings"), "vec_id", "embedding", K, "label")
+    """The neighbour table, found once: what follows reads it several times."""
+    return durable(neighbors.nearest_neighbors(table(spark, sf, "embeddings"), "vec_id", "embedding", K, "label"))
 
 
 def _probs(spark, sf):

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from winnowmill.plans import skew
@@ -52,18 +53,22 @@ def test_group_values_reach_hot_cold_and_null_keys(spark, monkeypatch):
     assert inner.count() == 1400
 
 
-def test_hot_key_is_not_shuffled_to_one_partition(spark):
-    rows = spark.range(8000).withColumn("key", F.lit("hot"))
-    groups = rows.groupBy("key").agg(F.count("*").alias("n"))
+@pytest.mark.parametrize("hot", ["text", None])
+def test_hot_and_null_keys_spread_over_the_shuffle(spark, hot):
+    key = F.when(F.col("id") % 3 > 0, F.lit(hot)).otherwise(F.col("id").cast("string"))
+    rows = durable(spark.range(24_000).select("id", key.alias("key")))
+    groups = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("n"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = skew.attach_group_values(rows, groups, "key", "n", "id")
+        assert "SortMergeJoin [__place" in out._jdf.queryExecution().executedPlan().toString()
         sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert out.where("n = 16000").count() == (16_000 if hot else 0)
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 8000 and max(sizes) < 2000
+    assert sum(sizes) == 24_000 and max(sizes) < 4_000
 
 
 def _components(pairs):

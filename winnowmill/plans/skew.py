@@ -35,18 +35,17 @@ def attach_group_values(
         .limit(HOT_KEYS)
         .select(F.col("__key").alias("__hot_key"), F.col("__cold").alias("__hot"))
     )
-    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn(
-        "__salt",
-        F.when(F.col("__hot_key").isNull() & F.col(key).isNotNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(spread_by), F.lit(1_000_003)) + 1
-        ),
+    tagged = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
+    salt = F.when(F.col("__hot_key").isNull() & F.col(key).isNotNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(spread_by), F.lit(1_000_003)) + 1
     )
-    cold = packed.select("__key", "__cold").withColumn("__cold_salt", F.lit(0).cast("bigint"))
-    joined = tagged.join(
-        cold,
-        (tagged[key] == cold["__key"]) & (tagged["__salt"] == cold["__cold_salt"]),
-        "left",
+    # Key and salt are one struct: as two equalities the constant salt of the cold side would be
+    # turned into a plain condition, and the rows would be shuffled by the key alone.
+    tagged = tagged.withColumn("__place", F.struct(F.col(key).alias("k"), salt.cast("int").alias("s")))
+    cold = packed.select(
+        F.struct(F.col("__key").alias("k"), F.lit(0).alias("s")).alias("__cold_place"), "__cold"
     )
+    joined = tagged.join(cold, F.col("__place") == F.col("__cold_place"), "left")
     picked = F.coalesce(F.col("__hot"), F.col("__cold"))
     out = joined.select(*rows.columns, picked.alias("__picked"))
     if how == "inner":
