@@ -46,9 +46,14 @@ def _answers(df, prompt, style, scorer, constrain, optimize, policy, keep_column
     return score_prompts(rendered, "__prompt", scorer, "capture", out_col="__scored", policy=policy)
 
 
-def _refined(raw, regex: RegexSpec | None, constrain: Sequence[str] | None):
-    out = process_regex(raw, regex) if check_regex(regex) is not None else raw
-    return constrain_outputs(out, constrain) if constrain else out
+def _refined(scored: DataFrame, regex: RegexSpec | None, constrain: Sequence[str] | None) -> DataFrame:
+    """Adds ``__raw``, the answer, and ``__refined``, the answer after post-processing."""
+    raw = scored.withColumn("__raw", F.col("__scored")["response"])
+    # A column of its own, since the vocabulary step reads the processed text several times.
+    processed = raw.withColumn("__refined", process_regex("__raw", regex))
+    if not constrain:
+        return processed
+    return processed.withColumn("__refined", constrain_outputs("__refined", constrain))
 
 
 def enrich(
@@ -71,13 +76,13 @@ def enrich(
     """
     rows = positional_subset(df, subset, order_by)
     scored = _answers(rows, prompt, "format", scorer, constrain, optimize, policy, keep)
-    raw = F.col("__scored")["response"]
+    scored = _refined(scored, regex, constrain)
     columns = [
-        _refined(raw, regex, constrain).alias(new_column),
+        F.col("__refined").alias(new_column),
         F.col("__scored")["trustworthiness_score"].alias(f"{new_column}_trustworthiness"),
     ]
     if check_regex(regex) is not None or constrain:
-        columns.append(raw.alias(f"{new_column}_log"))
+        columns.append(F.col("__raw").alias(f"{new_column}_log"))
     return scored.select(*keep, *columns)
 
 
@@ -96,12 +101,11 @@ def enrich_project(
     scored = _answers(
         df, options.prompt, "template", scorer, options.constrain_outputs, options.optimize_prompt, policy, [id_col]
     )
-    raw = F.col("__scored")["response"]
-    return scored.select(
+    return _refined(scored, options.regex, options.constrain_outputs).select(
         id_col,
-        _refined(raw, options.regex, options.constrain_outputs).alias(new_column),
+        F.col("__refined").alias(new_column),
         F.col("__scored")["trustworthiness_score"].alias(new_column + SCORE_ENDING),
-        raw.alias(f"{new_column}_raw"),
+        F.col("__raw").alias(f"{new_column}_raw"),
         F.col("__scored")["log"]["error"]["message"].alias(f"{new_column}_log"),
     )
 
