@@ -1,7 +1,7 @@
 """Audit columns of a labeled dataset, from class probabilities, embeddings and texts.
 
-Label issues follow confident learning (Northcutt, Jiang, Chuang, JAIR 2021); outliers the distance to
-nearest neighbours (Kuan, Mueller, 2022). All row-level work is expressions over one probability
+Label issues follow confident learning (JAIR, volume 70, 2021); outliers the mean distance to the
+nearest neighbours. All row-level work is expressions over one probability
 array; per-class figures are aggregates that enter as scalar subqueries of class-list size.
 """
 

@@ -1,4 +1,4 @@
-"""Trust in responses, from how well sampled responses agree with them (Chen, Mueller, 2023)."""
+"""Trust in responses, from how well sampled responses agree with them."""
 
 from __future__ import annotations
 
