@@ -1,4 +1,8 @@
-"""From raw documents to shards: quality rules, near-duplicates, decontamination, mixing, sharding."""
+"""From raw documents to shards: quality rules, near-duplicates, decontamination, mixing, sharding.
+
+Every stage takes and returns documents; columns it does not know travel along in a struct, so their
+names cannot clash with those of the operators.
+"""
 
 from __future__ import annotations
 
@@ -7,29 +11,86 @@ from collections.abc import Callable
 import winnowmill
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from winnowmill.llm.common import stored
+from winnowmill.llm.common import col, stored
+from winnowmill.llm.decontaminate import decontaminate
+from winnowmill.llm.mixing import mix
+from winnowmill.llm.near import near_duplicates
 from winnowmill.llm.quality import quality_cascade
+from winnowmill.llm.sharding import shard
 
+# Functions travel to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(winnowmill)
 
 #: Random permutations and counts decide what is mixed and where it goes: not for SQL.
 ORACLE_SQL = None
 
 
+def _packed(docs: DataFrame, *beside: str) -> DataFrame:
+    return docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), *[col(c) for c in beside])
+
+
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that pass all rules."""
-    return quality_cascade(docs, "text").where("kept").select(*docs.columns)
+    """Documents that pass all quality rules. A null text has no words and fails."""
+    return quality_cascade(_packed(docs, "text"), "text").where("kept").select("row.*")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more.
+
+    Rows without id cannot be told apart by the decisions and stay. Of rows that repeat an id, one stays.
+    """
+    found = stored(near_duplicates(docs, "doc_id", "text", words=5, percent=80), "pipeline-near")
+    copies = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
+    repeated = stored(repeated.select("doc_id"), "pipeline-repeated")
+    rest = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    once = rest.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(rest.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate(_packed(docs, "text"), items, keep=["row"]).where("n_hit = 0").select("row.*")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The mix as documents: a row per document and epoch in which it is taken, with the text taken then.
+
+    ``n_chars`` is that of the new text. Documents without words are in no block and go.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[col(c) for c in others]).alias("row"), "text", "source")
+    mixed, _, _ = mix(rows, "source", "text", keep=["row"])
+    taken = mixed.groupBy("source", "doc_start", "epoch").agg(
+        F.first("row").alias("row"), F.sort_array(F.collect_list(F.struct("first_word", "piece"))).alias("pieces")
+    )
+    taken = taken.select("row", F.array_join(F.col("pieces")["piece"], "").alias("text"))
+    out = {c: F.col("row")[c] for c in others} | {"text": F.col("text")}
+    if "n_chars" in out:
+        out["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return taken.select(*[out[c].alias(c) for c in docs.columns])
+
+
+def sharding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents with ``shard`` and ``slot``."""
+    return shard(docs, "doc_id", "text", shards=8)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
+    ("near duplicates", near_copies),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the documents; each result is written as Parquet and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES):
+    for number, (_, stage) in enumerate(STAGES):
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{number}")
     return docs
