@@ -52,6 +52,23 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def likely_in(rows: DataFrame, key: Column, wanted: DataFrame, words: int = 1 << 18) -> DataFrame:
+    """Rows whose key may be in the first column of ``wanted``: none that is goes missing, few others stay.
+
+    A bit array of the wanted keys, ``words`` rows of 64 bits and so of a fixed size, is broadcast, so
+    that an exact join after this shuffles few rows.
+    """
+    wanted = wanted.toDF("__key").select(F.xxhash64("__key").alias("__h"))
+    word, bit = lambda h: F.pmod(F.shiftright(h, 6), F.lit(words)), lambda h: h.bitwiseAND(63).cast("int")
+    # Shifting by a column is an SQL function only.
+    table = wanted.select(word(F.col("__h")).alias("__word"), bit(F.col("__h")).alias("__bit")).groupBy("__word")
+    table = table.agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    marked = rows.withColumn("__h", F.xxhash64(key)).withColumn("__word", word(F.col("__h")))
+    marked = marked.withColumn("__bit", bit(F.col("__h")))
+    marked = marked.join(F.broadcast(table), "__word")
+    return marked.where(F.expr("shiftright(__bits, __bit) & 1L = 1L")).drop("__h", "__word", "__bit", "__bits")
+
+
 def pieces(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[tuple[int, list]]:
     """Runs of values of a binary column, about ``limit`` bytes each: (first row, values). No row is left out."""
     values = batch.column(column)

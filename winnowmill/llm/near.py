@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from .common import MIX, WordHashes, col, pieces, scrambled, stored
+from .common import MIX, WordHashes, col, likely_in, pieces, scrambled, stored
 
 LANE_BITS = 12
 LANES = 5  # five lanes of twelve bits fill one signed 64-bit word and leave the sign alone
@@ -126,11 +126,11 @@ def _links_all(percent: int, a: str, b: str) -> Column:
 
 def _full_sets(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """``(node, hashes)``: the shingles of the named sets, from their texts, which are read again."""
-    wanted = nodes.select(F.col("node").alias("__wanted")).distinct()
-    known = docs.where(col(id_col).isNotNull()).join(
-        wanted, col(id_col).cast("bigint") == F.col("__wanted"), "left_semi"
-    )
-    full = _scan(known.unionByName(docs.where(col(id_col).isNull())), id_col, text_col, words, sets=True)
+    wanted = stored(nodes.select(F.col("node").alias("__wanted")).distinct(), "near-wanted")
+    rows = docs.select(col(id_col).cast("bigint").alias("id"), col(text_col).alias("text"))
+    known = likely_in(rows.where(F.col("id").isNotNull()), F.col("id"), wanted)
+    known = known.join(wanted, F.col("id") == F.col("__wanted"), "left_semi")
+    full = _scan(known.unionByName(rows.where(F.col("id").isNull())), "id", "text", words, sets=True)
     full = full.where("n > 0").select(_node(F.col("id"), F.col("digest")).alias("node"), "digest", "hashes")
     # An id may occur with several texts; equal rows are folded.
     return full.groupBy("node", "digest").agg(F.first("hashes").alias("hashes")).drop("digest")
