@@ -262,8 +262,9 @@ def mix(
         _pieces(block_words, names, len(names)),
         f"{kinds}, block bigint, first_word bigint, n_words bigint, piece string",
     )
+    # Slots are expanded from a few rows, so their size is not known to the planner: never to be broadcast.
     joined = cut.withColumnRenamed("block", "b").join(
-        chosen, (F.col("b") == F.col("block")) & F.col("__source").eqNullSafe(F.col("source"))
+        chosen.hint("merge"), (F.col("b") == F.col("block")) & F.col("__source").eqNullSafe(F.col("source"))
     )
     mixed = joined.select(
         "shard", "slot", "epoch", "source", "block", *[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)],
