@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from . import queries_chat, queries_decontaminate, queries_lm, queries_mixing, queries_near, queries_quality, queries_sharding, queries_urls  # noqa: F401
+from . import queries_chat, queries_decontaminate, queries_lm, queries_mixing, queries_near, queries_quality, queries_sharding, queries_tokens, queries_urls  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401
