@@ -42,9 +42,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, all other characters as they are."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def packed(docs: DataFrame, names: list[str]) -> Column:
+    """The columns of these names as one struct, so that their names can be any in Arrow functions."""
+    return (F.struct(*[col(n) for n in names]) if names else F.struct(F.lit(0))).alias("row")
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    """The columns that ``packed`` put into ``row``."""
+    return [F.col("row").getField(n).alias(n) for n in names]
 
 
 def let(value: Column, body) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import MIX, col, pieces, scrambled, stored
+from .common import MIX, col, packed, pieces, scrambled, stored, unpacked
 
 WINDOW = 10
 SHINGLE = 3
@@ -218,10 +218,7 @@ def decontaminate(
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in outputs]
     windows = stored(item_windows(items, item_id, item_text, window), "decontaminate-windows")
     blocks = max(1, -(-windows.count() // block_windows))
-    text = "__text"
-    while text in kept:
-        text = f"_{text}"
-    rows = docs.select(*[col(c) for c in kept], col(text_col).cast("binary").alias(text))
+    rows = docs.select(packed(docs, kept), col(text_col).cast("binary").alias("text"))
     span = StructType([StructField("start", LongType()), StructField("end", LongType())])
     new = [
         StructField("n_words", LongType()),
@@ -239,22 +236,20 @@ def decontaminate(
     )
     for number in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == number).toArrow()
-        if not part.num_rows and number + 1 < blocks:
-            continue
         # Without any window, one that no text can hold.
         lines, owners = part.column("window").to_pylist() or [b"\0"], part.column("owners").to_pylist() or [[]]
         index = Index(lines, owners, shingle)
-        texts = rows.select(text)
+        texts = rows.select("text")
         counts = np.zeros(len(index.shingles), np.int64)
         shared = spark.sparkContext.broadcast(index)
         for row in texts.mapInArrow(_counted(shared), "shingle bigint, n bigint").groupBy("shingle").sum("n").collect():
             counts[row[0]] = row[1]
         index.order(counts)
         shared = spark.sparkContext.broadcast(index)
-        carried = [*kept, text]
         last = number + 1 == blocks
-        schema = StructType([rows.schema[c] for c in (kept if last else carried)] + new)
-        scan = _marked(shared, len(kept), kept if last else carried, arrow, number > 0 and "hit_spans" in rows.columns)
+        carried = ["row"] if last else ["row", "text"]
+        schema = StructType([rows.schema[c] for c in carried] + new)
+        scan = _marked(shared, 1, carried, arrow, "hit_spans" in rows.columns)
         rows = rows.mapInArrow(scan, schema)
         rows = rows if last else stored(rows, "decontaminate-block")
-    return rows
+    return rows.select(*unpacked(kept), *outputs)

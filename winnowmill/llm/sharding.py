@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import col, scratch_folder, unused
+from .common import col, packed, scratch_folder, unpacked, unused
 
 BUCKET_BYTES = 32 << 20
 #: Bound of the table of buckets, which is broadcast (16 MB); beyond it buckets grow.
@@ -27,20 +27,20 @@ def shard_of(key: Column, shards: int, seed: int) -> Column:
     return F.array_max(weights)["s"]
 
 
-def _shuffled(seed: int, columns: list[str], bucket: str, part: str, order: str, place: str):
+def _shuffled(seed: int):
     """Rows of one bucket in random order: sorted by content, then permuted by Fisher-Yates."""
 
     def shuffle(key: tuple, rows: pa.Table) -> pa.Table:
         # Rows with the same hash are copies of one row, so what is written does not depend on arrival.
-        by = np.argsort(rows.column(order).to_numpy(), kind="stable")
+        by = np.argsort(rows.column("order").to_numpy(), kind="stable")
         name = f"{seed}/{key[0].as_py()}/{key[1].as_py()}"
         random = np.random.default_rng(xxhash.xxh3_64_intdigest(name.encode()))
         partner = random.integers(0, np.arange(1, len(by) + 1))
         for i in range(len(by) - 1, 0, -1):
             j = partner[i]
             by[i], by[j] = by[j], by[i]
-        out = rows.select([*columns, "shard", bucket, part]).take(pa.array(by))
-        return out.append_column(place, pa.array(np.arange(len(by), dtype=np.int64)))
+        out = rows.select(["row", "shard", "bucket", "part"]).take(pa.array(by))
+        return out.append_column("place", pa.array(np.arange(len(by), dtype=np.int64)))
 
     return shuffle
 
@@ -72,37 +72,34 @@ def shard(
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    number, weight, order, bucket, part, place = (
-        unused(docs, f"__{n}") for n in ("number", "bytes", "order", "bucket", "part", "place")
-    )
+    bucket, part, place = (unused(docs, f"__{n}") for n in ("bucket", "part", "place"))
     size = F.coalesce(F.octet_length(col(size_col).cast("string")), F.lit(0)) + 1
     total = docs.agg(F.sum(size)).first()[0] or 0
     per_shard = int(min(max(1, -(-total // (shards * bucket_bytes))), MAX_BUCKETS // shards))
-    rows = docs.withColumn(number, F.monotonically_increasing_id()).select(
-        *[col(c) for c in kept],
-        number,
-        size.alias(weight),
-        F.xxhash64(F.lit(seed), *[_hashable(docs, c) for c in kept]).alias(order),
+    rows = docs.select(
+        packed(docs, kept),
+        F.monotonically_increasing_id().alias("number"),
+        size.alias("bytes"),
+        F.xxhash64(F.lit(seed), *[_hashable(docs, c) for c in kept]).alias("order"),
         shard_of(col(key_col), shards, seed).alias("shard"),
     )
     # The order inside a bucket is that of the hash; the bucket is a remix of it.
-    spread = F.pmod(F.xxhash64(order), F.lit(per_shard)).cast("int")
-    rows = rows.withColumn(bucket, F.col("shard") * per_shard + spread)
-    heavy = rows.groupBy(bucket).agg(F.sum(weight).alias("bytes")).where(F.col("bytes") > 4 * bucket_bytes)
+    spread = F.pmod(F.xxhash64("order"), F.lit(per_shard)).cast("int")
+    rows = rows.withColumn("bucket", F.col("shard") * per_shard + spread)
+    heavy = rows.groupBy("bucket").agg(F.sum("bytes").alias("all")).where(F.col("all") > 4 * bucket_bytes)
     # At most one row per bucket, so never more than MAX_BUCKETS.
-    heavy = F.broadcast(heavy.select(F.col(bucket).alias("b"), F.ceil(F.col("bytes") / bucket_bytes).alias("n")))
-    dealt = F.coalesce(F.pmod(F.xxhash64(number), F.col("n")), F.lit(0)).cast("int")
-    rows = rows.join(heavy, F.col(bucket) == F.col("b"), "left").withColumn(part, dealt)
-    rows = rows.select(*[col(c) for c in kept], "shard", bucket, part, order)
-    schema = StructType(
-        [rows.schema[c] for c in kept]
-        + [StructField(n, IntegerType()) for n in ("shard", bucket, part)]
-        + [StructField(place, LongType())]
+    heavy = F.broadcast(heavy.select(F.col("bucket").alias("b"), F.ceil(F.col("all") / bucket_bytes).alias("n")))
+    dealt = F.coalesce(F.pmod(F.xxhash64("number"), F.col("n")), F.lit(0)).cast("int")
+    rows = rows.join(heavy, F.col("bucket") == F.col("b"), "left").withColumn("part", dealt)
+    rows = rows.select("row", "shard", "bucket", "part", "order")
+    numbers = [StructField(n, IntegerType()) for n in ("shard", "bucket", "part")]
+    schema = StructType([rows.schema["row"], *numbers, StructField("place", LongType())])
+    shuffled = rows.groupBy("bucket", "part").applyInArrow(_shuffled(seed), schema).select(
+        *unpacked(kept), "shard", F.col("bucket").alias(bucket), F.col("part").alias(part), F.col("place").alias(place)
     )
     folder = folder or scratch_folder(spark, "shards")
-    shuffled = rows.groupBy(bucket, part).applyInArrow(_shuffled(seed, kept, bucket, part, order, place), schema)
     shuffled.write.partitionBy("shard").parquet(folder)
-    written = spark.read.schema(schema).parquet(folder)
+    written = spark.read.schema(shuffled.schema).parquet(folder)
     counts = written.groupBy("shard", bucket, part).agg(F.count("*").alias("rows"))
     before = Window.partitionBy("shard").orderBy(bucket, part).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("rows").over(before), F.lit(0))

@@ -9,9 +9,9 @@ from collections.abc import Iterator, Sequence
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import LongType, StructField
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import col, pieces
+from .common import col, packed, pieces, unpacked
 
 SPACE = "▁"  # stands for a blank, and opens every word
 UNKNOWN_PENALTY = 10.0  # how far an unknown character's score lies below the lowest piece's
@@ -133,13 +133,12 @@ def token_counts(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = UnigramCounter(*shared.value)
         for batch in batches:
-            for first, texts in pieces(batch, len(kept)):
+            for first, texts in pieces(batch, 1):
                 counts = [counter.of_text((t or b"").decode()) for t in texts]
-                columns = [batch.column(i).slice(first, len(texts)) for i in range(len(kept))]
+                columns = [batch.column(0).slice(first, len(texts))]
                 columns += [pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *outputs])
+                yield pa.RecordBatch.from_arrays(columns, names=["row", *outputs])
 
-    rows = docs.select(*[col(c) for c in kept], col(text_col).cast("binary").alias("__text"))
-    schema = rows.schema
-    out = type(schema)([*schema.fields[: len(kept)], *[StructField(o, LongType()) for o in outputs]])
-    return rows.mapInArrow(scan, out)
+    rows = docs.select(packed(docs, kept), col(text_col).cast("binary").alias("text"))
+    out = StructType([rows.schema["row"], *[StructField(o, LongType()) for o in outputs]])
+    return rows.mapInArrow(scan, out).select(*unpacked(kept), *outputs)
