@@ -13,9 +13,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnowmill.llm.common import col, stored
+from winnowmill.llm.common import col, likely_in, stored, without
 from winnowmill.llm.decontaminate import decontaminate
-from winnowmill.llm.mixing import mix
+from winnowmill.llm.mixing import mix_documents
 from winnowmill.llm.near import near_duplicates
 from winnowmill.llm.quality import quality_cascade
 from winnowmill.llm.sharding import shard
@@ -43,11 +43,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """
     found = stored(near_duplicates(docs, "doc_id", "text", words=5, percent=80), "pipeline-near")
     copies = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    rest = without(docs, "doc_id", stored(copies, "pipeline-copies"))
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
     repeated = stored(repeated.select("doc_id"), "pipeline-repeated")
-    rest = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    once = rest.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(rest.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    again = likely_in(rest, F.col("doc_id"), repeated)
+    again = again.join(repeated.toDF("__again"), F.col("doc_id") == F.col("__again"), "left_semi")
+    return without(rest, "doc_id", repeated).unionByName(again.dropDuplicates(["doc_id"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -63,12 +64,8 @@ def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[col(c) for c in others]).alias("row"), "text", "source")
-    mixed, _, _ = mix(rows, "source", "text", keep=["row"])
-    taken = mixed.groupBy("source", "doc_start", "epoch").agg(
-        F.first("row").alias("row"), F.sort_array(F.collect_list(F.struct("first_word", "piece"))).alias("pieces")
-    )
-    taken = taken.select("row", F.array_join(F.col("pieces")["piece"], "").alias("text"))
-    out = {c: F.col("row")[c] for c in others} | {"text": F.col("text")}
+    taken = mix_documents(rows, "source", "text", keep=["row"])
+    out = {c: F.col("row").getField(c) for c in others} | {"text": F.col("text")}
     if "n_chars" in out:
         out["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
     return taken.select(*[out[c].alias(c) for c in docs.columns])

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import SPACE_CLASS, col, scrambled, stored, unused
 
@@ -172,6 +173,11 @@ def _unhashable(docs: DataFrame, name: str) -> bool:
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+def _word_begins(text: bytes) -> np.ndarray:
+    word = ~_SPACE[np.frombuffer(text, np.uint8)]
+    return np.flatnonzero(word & ~np.concatenate([[False], word[:-1]]))
+
+
 def _pieces(block_words: int, keep: Sequence[str], text_at: int):
     """Cuts texts at block boundaries: a row per document and block, with the text of the words in it.
 
@@ -194,8 +200,7 @@ def _pieces(block_words: int, keep: Sequence[str], text_at: int):
 
             for i in range(len(values)):
                 text = values[i].as_py() or b""
-                word = ~_SPACE[np.frombuffer(text, np.uint8)]
-                begins = np.flatnonzero(word & ~np.concatenate([[False], word[:-1]]))
+                begins = _word_begins(text)
                 place, words = int(starts[i]), len(begins)
                 edges = np.arange((place // block_words + 1) * block_words - place, words, block_words)
                 edges = [0, *edges.tolist(), words] if words else []
@@ -216,6 +221,14 @@ def _pieces(block_words: int, keep: Sequence[str], text_at: int):
     return cut
 
 
+def _planned(sizes: DataFrame, weights: Sequence[float], share: float, block_words: int) -> DataFrame:
+    """Sources with their targets and their numbers of blocks and slots."""
+    blocks = F.ceil(F.col("source_size") / block_words)
+    wanted = F.round(blocks * F.col("target") / F.greatest("source_size", F.lit(1))).cast("bigint")
+    rows = targets(sizes, weights, share).withColumn("blocks", blocks)
+    return stored(rows.withColumn("slots", F.least(wanted, blocks * MAX_EPOCHS)), "mixing-plan")
+
+
 def mix(
     docs: DataFrame,
     source_col: str = "source",
@@ -245,23 +258,15 @@ def mix(
     outputs = {"shard", "slot", "epoch", "source", "block", "doc_start", "first_word", "n_words", "piece"}
     kept = [c for c in keep if c.lower() not in outputs]
     rows, sizes = laid_out(docs, source_col, text_col)
-    sources = targets(sizes, weights, share)
-    blocks = F.ceil(F.col("source_size") / block_words)
-    wanted = F.round(blocks * F.col("target") / F.greatest("source_size", F.lit(1))).cast("bigint")
-    plan = stored(
-        sources.withColumn("blocks", blocks).withColumn("slots", F.least(wanted, blocks * MAX_EPOCHS)),
-        "mixing-plan",
-    )
+    plan = _planned(sizes, weights, share, block_words)
     chosen = slots(plan.where("slots > 0"), seed, shards)
     flat = rows.select(
         *[col(c).alias(f"k{i}") for i, c in enumerate(kept)], "__source", "__start", col(text_col).cast("binary").alias("text")
     )
     names = [f"k{i}" for i in range(len(kept))] + ["__source", "__start"]
-    kinds = ", ".join(f"{n} {flat.schema[n].dataType.simpleString()}" for n in names)
-    cut = flat.mapInArrow(
-        _pieces(block_words, names, len(names)),
-        f"{kinds}, block bigint, first_word bigint, n_words bigint, piece string",
-    )
+    numbers = [StructField(n, LongType()) for n in ("block", "first_word", "n_words")]
+    out = StructType([*[flat.schema[n] for n in names], *numbers, StructField("piece", StringType())])
+    cut = flat.mapInArrow(_pieces(block_words, names, len(names)), out)
     # Slots are expanded from a few rows, so their size is not known to the planner: never to be broadcast.
     joined = cut.withColumnRenamed("block", "b").join(
         chosen.hint("merge"), (F.col("b") == F.col("block")) & F.col("__source").eqNullSafe(F.col("source"))
@@ -271,3 +276,62 @@ def mix(
         F.col("__start").alias("doc_start"), "first_word", "n_words", "piece",
     )
     return mixed, plan, rows
+
+
+def _assembled(names: Sequence[str]):
+    """Texts made of the word spans that an epoch takes, in their order."""
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                begins = _word_begins(text)
+                cut = lambda w: 0 if w == 0 else int(begins[w]) if w < len(begins) else len(text)
+                texts.append(b"".join(text[cut(s["first"]) : cut(s["end"])] for s in spans))
+            columns = [*[batch.column(n) for n in names], pa.array(texts, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "text"])
+
+    return assemble
+
+
+def mix_documents(
+    docs: DataFrame,
+    source_col: str = "source",
+    text_col: str = "text",
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    keep: Sequence[str] = ("doc_id",),
+    block_words: int = BLOCK_WORDS,
+    shards: int = SHARDS,
+    seed: int = 1,
+) -> DataFrame:
+    """The mix of ``mix`` as documents: ``epoch``, the ``keep`` columns and ``text``, what that epoch takes.
+
+    Which blocks are taken is decided on places and lengths alone; a document gets the list of its word
+    spans, so its text moves once to be laid out and once to meet them, whatever the number of blocks.
+    Columns of ``keep`` called ``epoch`` or ``text`` are left out.
+    """
+    kept = [c for c in keep if c.lower() not in ("epoch", "text")]
+    rows, sizes = laid_out(docs, source_col, text_col)
+    chosen = slots(_planned(sizes, weights, share, block_words).where("slots > 0"), seed, shards)
+    low = lambda: F.floor(F.col("__start") / block_words)
+    high = F.floor((F.col("__start") + F.col("__size") - 1) / block_words)
+    held = rows.where("__size > 0").select("__source", "__start", "__size", F.explode(F.sequence(low(), high)).alias("b"))
+    place = F.col("b") * block_words - F.col("__start")
+    held = held.withColumn("first", F.greatest(place, F.lit(0)))
+    held = held.withColumn("end", F.least(place + block_words, F.col("__size"))).drop("__size")
+    taken = held.join(
+        chosen.hint("merge"), (F.col("b") == F.col("block")) & F.col("__source").eqNullSafe(F.col("source"))
+    )
+    spans = taken.groupBy(F.col("__source").alias("s"), F.col("__start").alias("at"), "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans")
+    )
+    names = ["epoch", *[f"k{i}" for i in range(len(kept))]]
+    texts = rows.where("__size > 0").select(
+        "__source", "__start", *[col(c).alias(n) for c, n in zip(kept, names[1:])], col(text_col).cast("binary").alias("text")
+    )
+    joined = texts.join(spans, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__start") == F.col("at")))
+    joined = joined.select(*names, "text", "spans")
+    schema = StructType([*[joined.schema[n] for n in names], StructField("text", StringType())])
+    out = joined.mapInArrow(_assembled(names), schema)
+    return out.select("epoch", *[F.col(n).alias(c) for c, n in zip(kept, names[1:])], "text")
