@@ -106,7 +106,7 @@ def pieces(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator
 class WordHashes(dict):
     """64-bit hashes of words. Remembers up to ``LIMIT`` words and then starts anew, so memory is bounded."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -207,17 +207,23 @@ def near_duplicates(
     )
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of whole groups of rows sorted by column ``place``; a group may begin in one batch and end in another."""
+def _groups(batches: Iterator[pa.RecordBatch], rows_at_once: int = 2 * BLOCK) -> Iterator[pa.Table]:
+    """Runs of whole groups of rows sorted by column ``place``, each run about as large as the largest group.
+
+    A group may begin in one batch and end in another.
+    """
     waiting = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         rows = rows if waiting is None else pa.concat_tables([waiting, rows])
         place = rows.column("place").to_numpy()
-        cut = int(np.searchsorted(place, place[-1])) if len(place) else 0
-        if cut:
-            yield rows.slice(0, cut)
-        waiting = rows.slice(cut)
+        last = int(np.searchsorted(place, place[-1])) if len(place) else 0
+        at = 0
+        while at < last:
+            end = int(np.searchsorted(place, place[min(at + rows_at_once, last - 1)], side="right"))
+            yield rows.slice(at, end - at)
+            at = end
+        waiting = rows.slice(last)
     if waiting is not None and len(waiting):
         yield waiting
 
@@ -272,7 +278,8 @@ def _confirmed(percent: int, least_equal: int):
         for rows in _groups(batches):
             node, hashes = rows.column("node").to_numpy(), rows.column("hashes").combine_chunks()
             ends = hashes.offsets.to_numpy()
-            distinct, flat = np.unique(hashes.values.to_numpy(), return_inverse=True)
+            ends = ends - ends[0]  # a run may be a slice of a batch
+            distinct, flat = np.unique(hashes.flatten().to_numpy(), return_inverse=True)
             size, mark = np.diff(ends), np.zeros(len(distinct), np.int32)
             pairs = []
             for p, q in _candidates(rows, percent, least_equal):
