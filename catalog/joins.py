@@ -200,3 +200,19 @@ FROM documents d LEFT JOIN sized USING (doc_id) LEFT JOIN comp ON comp.id = f
 """)
 def near_dup_fuzzy(spark, sf):
     return near_duplicates.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
+
+
+# Every benchmark text gives a chain of five texts of 64 numbered words, each five words on: neighbours
+# have 55 of 65 shingles in common, texts two apart 50 of 70.
+@query("""
+SELECT item_id * 5 + step AS chain_id, true AS is_near_duplicate, item_id * 5 AS near_duplicate_cluster_id
+FROM benchmark, range(5) t(step)
+""")
+def near_dup_chains(spark, sf):
+    steps = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("step")
+    items = table(spark, sf, "benchmark").select("item_id", steps)
+    words = F.transform(
+        F.sequence(F.col("step") * 5, F.col("step") * 5 + 63), lambda i: F.concat_ws("x", F.col("item_id"), i)
+    )
+    chains = items.select((F.col("item_id") * 5 + F.col("step")).alias("chain_id"), F.array_join(words, " ").alias("text"))
+    return near_duplicates.near_duplicates(chains, "chain_id", "text")

@@ -79,7 +79,21 @@ def sort_by_id(spark, sf):
     return rows.sort_by_id(decisions(spark, sf), "doc_id")
 
 
-@query()
+@query("""
+SELECT count(*) AS n, 0::BIGINT AS low, count(*) - 1 AS high, count(*) AS distinct_positions,
+       sum(n_chars)::BIGINT AS payload FROM documents
+""")
+def row_position_shuffled(spark, sf):
+    """Positions of a table that has just been shuffled: contiguous, and no row is lost."""
+    shuffled = table(spark, sf, "documents").repartition("lang", "source")
+    out = with_row_position(shuffled, "p")
+    return out.agg(
+        F.count("*").alias("n"), F.min("p").alias("low"), F.max("p").alias("high"),
+        F.count_distinct("p").alias("distinct_positions"), F.sum("n_chars").alias("payload"),
+    )
+
+
+@query("SELECT doc_id, lang FROM documents ORDER BY md5(doc_id::VARCHAR || '4'), doc_id LIMIT 3")
 def preview_sample(spark, sf):
     return rows.preview_sample(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", seed=4)
 

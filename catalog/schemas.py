@@ -67,6 +67,22 @@ def cast_boolean(spark, sf):
     return untyped(spark, sf).select("l_orderkey", "l_linenumber", typing.cast_boolean("returned").alias("returned"))
 
 
+@query("""
+SELECT o_orderkey, epoch(date_trunc('day', o_orderdate))::BIGINT AS us, epoch(date_trunc('day', o_orderdate))::BIGINT AS named,
+       (o_orderkey % 4000)::BIGINT AS seconds FROM orders
+""")
+def cast_datetime_patterns(spark, sf):
+    """Dates in the American form, with a month's name, and small numbers of seconds."""
+    texts = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("us"),
+        F.date_format("o_orderdate", "MMM d yyyy").alias("named"),
+        (F.col("o_orderkey") % 4000).cast("string").alias("seconds"),
+    )
+    patterns = ["MM/dd/yyyy", "MMM d yyyy"]
+    return texts.select("o_orderkey", *[F.unix_seconds(typing.cast_datetime(c, patterns)).alias(c) for c in texts.columns[1:]])
+
+
 @query(f"WITH {UNTYPED} SELECT l_orderkey, l_linenumber, {CAST_SQL['datetime'].format(c='shipped')} AS shipped FROM untyped")
 def cast_datetime(spark, sf):
     return untyped(spark, sf).select(

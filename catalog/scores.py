@@ -94,9 +94,10 @@ def enrich_project(spark, sf):
     return _project(spark, sf)
 
 
-@query()
+@query(f"WITH {PROJECT_SQL} SELECT * FROM results ORDER BY md5(doc_id::VARCHAR || '3'), doc_id LIMIT 3")
 def enrich_preview(spark, sf):
-    return enrich.enrich_preview(table(spark, sf, "documents"), PROJECT, "origin", echo, "doc_id", seed=3)
+    out = enrich.enrich_preview(table(spark, sf, "documents"), PROJECT, "origin", echo, "doc_id", seed=3)
+    return out.withColumn("origin_trustworthiness_score", rounded("origin_trustworthiness_score"))
 
 
 @query(f"WITH {PROJECT_SQL} SELECT doc_id AS row_id, origin, origin_raw FROM results")
@@ -189,12 +190,18 @@ def respond_then_score(spark, sf):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN contains(p_name, 'bolt') THEN 'Bolt' WHEN contains(p_name, 'ring') THEN 'RING' ELSE 'none' END AS response,
+WITH o AS (
+  SELECT p_partkey, p_name, CASE WHEN contains(p_name, 'bolt') THEN 'Bolt' ELSE 'RING' END AS option FROM part)
+SELECT p_partkey, CASE WHEN contains(p_name, lower(option)) THEN option
+    WHEN 1 - levenshtein(p_name, option) / greatest(length(p_name), length(option))::DOUBLE >= 0.5
+     AND 1 - levenshtein(p_name, option) / greatest(length(p_name), length(option))::DOUBLE
+         >= 1 - levenshtein(p_name, 'none') / greatest(length(p_name), 4)::DOUBLE THEN option
+    ELSE 'none' END AS response,
   round((length(p_name) % 97) / 97.0::DOUBLE, 6) AS trustworthiness_score
-FROM part WHERE contains(p_name, 'bolt') OR contains(p_name, 'ring')
+FROM o
 """)
 def per_row_constraints(spark, sf):
-    named = table(spark, sf, "part").where("contains(p_name, 'bolt') OR contains(p_name, 'ring')")
+    named = table(spark, sf, "part")
     options = F.when(F.contains("p_name", F.lit("bolt")), F.array(F.lit("Bolt"), F.lit("none"))).otherwise(
         F.array(F.lit("RING"), F.lit("none"))
     )

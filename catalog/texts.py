@@ -74,13 +74,24 @@ def constrain_exact(spark, sf):
     )
 
 
-@query()
+@query("""
+WITH r AS (
+  SELECT p_partkey, p_type, 1 - levenshtein(p_type, 'automobile part') / greatest(length(p_type), 15)::DOUBLE AS a,
+         1 - levenshtein(p_type, 'large economy item') / greatest(length(p_type), 18)::DOUBLE AS b,
+         1 - levenshtein(p_type, 'other') / greatest(length(p_type), 5)::DOUBLE AS c FROM part)
+SELECT p_partkey, CASE WHEN greatest(a, b, c) < 0.5 THEN 'other' WHEN a >= greatest(b, c) THEN 'automobile part'
+                       WHEN b >= c THEN 'large economy item' ELSE 'other' END AS choice
+FROM r
+""")
 def constrain_fallback(spark, sf):
     options = ["automobile part", "large economy item", "other"]
     return table(spark, sf, "part").select("p_partkey", text.constrain_outputs("p_type", options).alias("choice"))
 
 
-@query()
+@query("""
+SELECT p_partkey, round(1 - levenshtein(p_name, p_type) / greatest(length(p_name), length(p_type))::DOUBLE, 6) AS ratio
+FROM part
+""")
 def similarity_ratio(spark, sf):
     return table(spark, sf, "part").select(
         "p_partkey", rounded(text.similarity_ratio("p_name", "p_type")).alias("ratio")

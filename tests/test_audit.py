@@ -45,13 +45,26 @@ def test_hashed_neighbours_find_most(spark):
     centers = rng.standard_normal((20, 16)) * 3
     data = np.concatenate([c + rng.standard_normal((20, 16)) * 0.3 for c in centers])
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id bigint, v array<double>")
-    found = neighbors.nearest_neighbors(df, "id", "v", 5, None, "hashed", block_rows=40, bucket_rows=50).collect()
+    found = neighbors.nearest_neighbors(df, "id", "v", 5, None, "hashed", block_rows=40, bits=4).collect()
     want = brute(data, 5)
+    assert len(found) == 5 * len(data)
     assert sum(r.neighbor_id in want[r.id] for r in found) / (5 * len(data)) > 0.9
     with pytest.raises(InvalidInput):
         neighbors.nearest_neighbors(df, "id", "v", 5, None, "guess")
 
 
+def test_isolated_vectors_have_neighbours_and_are_outliers(spark):
+    rng = np.random.default_rng(5)
+    data = np.concatenate([rng.standard_normal(16) * 3 + rng.standard_normal((100, 16)) * 0.1, -10 * np.eye(16)[:3]])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id bigint, v array<double>")
+    found = neighbors.nearest_neighbors(df, "id", "v", 5, None, "hashed", block_rows=16, bits=12, tables=4)
+    assert {r.id: r["count"] for r in found.groupBy("id").count().collect()} == {i: 5 for i in range(103)}
+    want = brute(data, 5)
+    assert {r.neighbor_id for r in found.where("id = 101").collect()} == set(want[101])
+    scores = {r.id: r.is_outlier for r in neighbors.outlier_scores(found, "id", 0.97).collect()}
+    assert [i for i, out in scores.items() if out] == [100, 101, 102] or sum(scores.values()) == 3
+
+
 def test_class_list_is_bounded(spark):
     df = spark.range(50).select(F.col("id").alias("label"))
     assert neighbors.label_classes(df, "label") == list(range(50))
@@ -112,9 +125,7 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("finish", [0, 10_000_000])
-def test_near_duplicates_match_brute_force(spark, monkeypatch, finish):
-    monkeypatch.setattr(near_duplicates, "FINISH_HASHES", finish)
+def test_near_duplicates_match_brute_force(spark):
     texts = corpus()
     df = spark.createDataFrame(sorted(texts.items()), "id bigint, t string").repartition(5)
     got = {r.id: r for r in near_duplicates.near_duplicates(df, "id", "t", threshold=0.7).collect()}
@@ -129,13 +140,20 @@ def test_exact_duplicates(spark):
     assert got == brute_clusters(texts, 2.0)
 
 
-def test_leaders_settle_every_member(spark):
-    """Two groups in one bucket: the second elects its own leader."""
-    sets = {1: range(10), 2: range(10), 3: range(100, 110), 4: range(100, 111), 5: range(200, 210)}
-    rows = [(0, i, list(s)) for i, s in sets.items()]
-    members = spark.createDataFrame(rows, "bucket bigint, id bigint, hashes array<bigint>")
-    edges = {tuple(r) for r in near_duplicates._remaining_edges(members, 0.8).collect()}
-    assert edges == {(2, 1), (4, 3)}
+def test_chains_whose_ends_are_unlike(spark):
+    """Neighbours in a chain are alike, texts two apart are not: every chain is one cluster."""
+    rng, texts = random.Random(3), {}
+    for chain in range(60):
+        words = [f"c{chain}w{i}" for i in range(200)]
+        for step in range(12):
+            texts[len(texts)] = " ".join(words[5 * step : 5 * step + 64])
+    order = list(texts.items())
+    rng.shuffle(order)
+    texts = {i: t for i, (_, t) in enumerate(order)}
+    df = spark.createDataFrame(sorted(texts.items()), "id bigint, t string").repartition(5)
+    got = {r.id: r.near_duplicate_cluster_id for r in near_duplicates.near_duplicates(df, "id", "t").collect()}
+    assert got == brute_clusters(texts, 0.8)
+    assert len(set(got.values())) == 60
 
 
 # --- audit columns -------------------------------------------------------------------------------

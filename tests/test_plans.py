@@ -103,3 +103,15 @@ def test_components_of_no_edges(spark):
 def test_durable_cuts_lineage(spark):
     kept = durable(spark.range(10).withColumn("x", F.col("id") * 2))
     assert "ExistingRDD" in plan(kept) and kept.count() == 10
+
+
+def test_positions_of_a_shuffled_input_lose_no_row(spark):
+    """Wide rows after a shuffle: counting a pruned plan once dropped whole partitions."""
+    df = spark.range(60_000).select("id", F.repeat(F.lit("x"), 300).alias("wide"), (F.col("id") % 97).alias("k"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        got = with_row_position(df.repartition("k"), "p")
+        row = got.agg(F.count("*"), F.min("p"), F.max("p"), F.count_distinct("p"), F.sum("id")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert tuple(row) == (60_000, 0, 59_999, 60_000, 60_000 * 59_999 // 2)

@@ -30,17 +30,25 @@ def test_boolean_words(spark):
     assert values(spark, texts, typing.cast_boolean) == [True] * 5 + [False] * 5 + [None] * 3
 
 
+def test_datetime_patterns_and_short_epochs(spark):
+    texts = ["0", "3600", "1999", "03/17/2016", "Mar 17 2016", "20160317", "17.3.", "2016-03-17"]
+    form = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    got = values(spark, texts, lambda c: form(typing.cast_datetime(c, ["MM/dd/yyyy", "MMM d yyyy", "yyyyMMdd"])))
+    day = "2016-03-17 00:00:00"
+    assert got == ["1970-01-01 00:00:00", "1970-01-01 01:00:00", "1970-01-01 00:33:19", day, day, day, None, day]
+
+
 def test_datetime_text_and_epoch(spark):
-    texts = ["2015-02-24 11:35:52 -0800", "2015-02-24T11:35:52.25Z", "2015-02-24", "1424806552", "1424806552.5", "soon", "7", None]
+    texts = ["2019-06-05 04:03:02 -0800", "2019-06-05T04:03:02.25Z", "2015-02-24", "1424806552", "1424806552.5", "soon", "7", None]
     got = values(spark, texts, lambda c: F.date_format(typing.cast_datetime(c), "yyyy-MM-dd HH:mm:ss.SS"))
     assert got == [
-        "2015-02-24 19:35:52.00",
-        "2015-02-24 11:35:52.25",
+        "2019-06-05 12:03:02.00",
+        "2019-06-05 04:03:02.25",
         "2015-02-24 00:00:00.00",
         "2015-02-24 19:35:52.00",
         "2015-02-24 19:35:52.50",
         None,
-        None,
+        "1970-01-01 00:00:07.00",
         None,
     ]
 

@@ -5,9 +5,7 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Sequence
-from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -210,38 +208,20 @@ def _canonical(found: Column, options: Sequence[str] | Column) -> Column:
     return F.coalesce(F.when(place > 0, F.try_element_at(listed, place)), found)
 
 
-def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    known: dict[tuple, float] = {}
-
-    def ratio(pair: tuple) -> float | None:
-        if pair[0] is None or pair[1] is None:
-            return None
-        if pair not in known:
-            known[pair] = SequenceMatcher(None, *pair).ratio()
-        return known[pair]
-
-    return pd.Series([ratio(p) for p in zip(a, b)], dtype="float64")
-
-
-def _closest(text: pd.Series, options: pd.Series) -> pd.Series:
-    known: dict[tuple, str] = {}
-
-    def closest(value: str | None, choices) -> str | None:
-        if value is None or choices is None or len(choices) == 0:
-            return None
-        key = (value, tuple(choices))
-        if key not in known:
-            scored = [(SequenceMatcher(None, value, c).ratio(), -i) for i, c in enumerate(choices)]
-            best, place = max(scored)
-            known[key] = choices[-place] if best >= 0.5 else choices[-1]
-        return known[key]
-
-    return pd.Series([closest(v, c) for v, c in zip(text, options)], dtype="object")
+def similarity_ratio(a: Column | str, b: Column | str) -> Column:
+    """One minus the edit distance over the longer length; 1 for two empty texts, null if either is null."""
+    a, b = _as_column(a), _as_column(b)
+    longer = F.greatest(F.length(a), F.length(b), F.lit(1))
+    return F.when(a.isNotNull() & b.isNotNull(), 1 - F.levenshtein(a, b) / longer)
 
 
-def similarity_ratio(a: Column | str, b: Column | str) -> Column:
-    """Matching-blocks ratio 2M/T of two texts (not symmetric), null if either is null."""
-    return F.pandas_udf(_ratios, returnType="double")(_as_column(a), _as_column(b))
+def _closest(text: Column, options: Column) -> Column:
+    """The most similar option, the earlier of equals; the last if none is half alike."""
+    rated = F.transform(
+        options, lambda o, i: F.struct(similarity_ratio(text, o).alias("s"), (-i).alias("place"), o.alias("option"))
+    )
+    best = F.array_max(rated)
+    return F.when(best["s"] >= 0.5, best["option"]).otherwise(F.try_element_at(options, F.lit(-1)))
 
 
 def constrain_outputs(
@@ -253,7 +233,7 @@ def constrain_outputs(
     """Map free text to one of ``options``: last option named, else the most similar one.
 
     A best similarity under one half gives the last option. ``canonical=False`` keeps the casing of
-    the text for named options. Null stays null. Only texts that name no option reach Python.
+    the text for named options. Null stays null. Similarity is ``similarity_ratio``.
     """
     if not isinstance(options, Column):
         if not options or not all(isinstance(o, str) for o in options):
@@ -264,9 +244,7 @@ def constrain_outputs(
     if not fallback:
         return picked
     listed = options if isinstance(options, Column) else F.array(*[F.lit(o) for o in options])
-    closest = F.pandas_udf(_closest, returnType="string")
-    rest = closest(F.when(found.isNull(), text), F.when(found.isNull(), listed))
-    return F.coalesce(picked, rest)
+    return F.coalesce(picked, F.when(text.isNotNull(), _closest(text, listed)))
 
 
 # --- lists and dates -----------------------------------------------------------------------------

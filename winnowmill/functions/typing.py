@@ -5,6 +5,8 @@ Every cast returns null for a value that does not conform; nothing here raises o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,15 +52,20 @@ def cast_boolean(col: Column | str) -> Column:
     return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
 
 
-def cast_datetime(col: Column | str) -> Column:
-    """Date text in ISO form (optional zone offset), or seconds since 1970 as a number."""
+def cast_datetime(col: Column | str, patterns: Sequence[str] = ()) -> Column:
+    """Date text in ISO form (optional zone offset), seconds since 1970, or text in one of ``patterns``.
+
+    Digits alone are seconds, however many; a pattern such as ``yyyyMMdd`` or ``MM/dd/yyyy``, tried
+    first and in order, reads them, and other forms, as dates.
+    """
     text = F.trim(_as_column(col).cast("string"))
     seconds = F.timestamp_micros((text.try_cast("double") * 1_000_000).try_cast("bigint"))
     # "2015-02-24 11:35:52 -0800" -> "2015-02-24 11:35:52-08:00"
     iso = F.regexp_replace(text, r"^(\d+-\d+-\d+[ T]\d\S*)\s*([+-]\d{2}):?(\d{2})$", "$1$2:$3")
-    return F.when(text.rlike(r"^[+-]?\d{5,}(\.\d*)?([eE]\+?\d+)?$"), seconds).when(
+    usual = F.when(text.rlike(r"^[+-]?\d+(\.\d*)?([eE]\+?\d+)?$"), seconds).when(
         text.rlike(r"^\d{4}-\d{1,2}"), iso.try_cast("timestamp")
     )
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns], usual)
 
 
 def cast_to(col: Column | str, column_type: str) -> Column:

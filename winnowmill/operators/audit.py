@@ -162,7 +162,7 @@ def audit(
     k: int = 10,
     top: int = 3,
     fuzzy: bool = False,
-    method: str = "auto",
+    method: str = "exact",
     outlier_quantile: float = OUTLIER_QUANTILE,
     ambiguous_above: float = AMBIGUOUS_ABOVE,
     fix_above: float = FIX_ABOVE,

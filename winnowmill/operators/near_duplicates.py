@@ -15,11 +15,6 @@ from ..plans.skew import attach_group_values
 
 SHINGLE_WORDS = 5
 MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier, the golden ratio in 64 bits
-SEED = 20_240_101
-# Ids up to this number, about 8 MB, are sent to every executor instead of shuffling the texts.
-BROADCAST_IDS = 1_000_000
-# Once the sets still to be compared hold this few hashes (80 MB), their buckets finish in one job.
-FINISH_HASHES = 10_000_000
 
 
 def normalized_text(col: Column | str) -> Column:
@@ -85,27 +80,6 @@ def _per_text(function, hashes: Column) -> Column:
     return F.pandas_udf(run, returnType="array<bigint>")(hashes)
 
 
-def _band_keys(word_hashes: Column, words: int, bands: int, rows_per_band: int) -> Column:
-    """Per band, one key made of ``rows_per_band`` MinHash values of the shingles."""
-    random = np.random.default_rng(SEED)
-    count = bands * rows_per_band
-    factor = random.integers(0, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = random.integers(0, 2**63, count, dtype=np.uint64)
-    digest = random.integers(0, 2**63, rows_per_band, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    number = np.arange(bands, dtype=np.uint64)
-
-    def keys(values: np.ndarray) -> np.ndarray:
-        shingles = _shingles(values, words)
-        low = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
-        for start in range(0, len(shingles), 4096):  # bounds the working matrix for long texts
-            part = shingles[start : start + 4096, None] * factor + shift
-            low = np.minimum(low, part.min(axis=0))
-        mixed = (low ^ (low >> np.uint64(29))).reshape(bands, rows_per_band) * digest
-        return (mixed.sum(axis=1, dtype=np.uint64) * MIX + number).view(np.int64)
-
-    return _per_text(keys, word_hashes)
-
-
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS) -> DataFrame:
     """``(id, hashes)``: distinct hashes of the word shingles; null for an empty text.
 
@@ -116,106 +90,89 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE
     return rows.select("id", sets.alias("hashes"))
 
 
-def _jaccard(a: Column, b: Column) -> Column:
+def _alike(a: Column, b: Column, percent: int) -> Column:
+    """Whether two sets reach the similarity, in whole numbers."""
     shared = F.size(F.array_intersect(a, b))
-    return F.try_divide(shared.cast("double"), F.size(a) + F.size(b) - shared)
+    return shared * 100 >= (F.size(a) + F.size(b) - shared) * percent
 
 
-def _sets_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Shingle sets of the listed rows. Few ids are broadcast, so that texts need not be shuffled."""
-    wanted = ids.select(F.col("id").alias(id_col))
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return durable(shingle_sets(df.join(wanted, id_col, "left_semi"), id_col, text_col, words))
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """``(key, id, n)``: of each set of n shingles, the rarest n - ceil(percent * n) + 1 that others have too.
 
+    Two sets that reach the similarity have a shingle in common among these. Shingles are ordered by
+    their number of sets, so those that only one set has come first, and they can join nothing: a set
+    that has enough of them, as most have, has no keys.
+    """
+    single = sets.select("id", F.size("hashes").alias("n"), F.explode("hashes").alias("key"))
+    counts = single.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    shared = single.join(counts, "key").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("shared")
+    )
+    length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
+    needed = (length - (F.col("n") - F.size("shared"))).cast("int")
+    keys = F.slice(F.col("shared")["key"], F.lit(1), F.greatest(needed, F.lit(0)))
+    return shared.select("id", "n", F.explode(keys).alias("key"))
 
-def _led(waiting: DataFrame) -> DataFrame:
-    """Members of each bucket of two or more with the bucket's leader, its smallest id."""
-    groups = waiting.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
-    led = attach_group_values(waiting, groups, "bucket", "n", "id", how="inner").where("id <> leader")
-    return led.select("id", "bucket", "leader")
 
+def _fits(n: str, m: str, percent: int) -> Column:
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Whether the shingle sets of each pair reach the threshold."""
-    own = sets.select("id", F.col("hashes").alias("own"))
-    lead = sets.select(F.col("id").alias("leader"), F.col("hashes").alias("lead"))
-    alike = _jaccard(F.col("own"), F.col("lead")) >= threshold
-    return pairs.join(own, "id").join(lead, "leader").select("id", "leader", alike.alias("alike"))
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``(a, b)``, those whose sets reach the similarity."""
+    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
+    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
+    return pairs.join(left, "a").join(right, "b").where(_alike(F.col("ha"), F.col("hb"), percent)).select("a", "b")
 
-def _remaining_edges(members: DataFrame, threshold: float) -> DataFrame:
-    """The remaining elections of all buckets in one go; the caller has checked that the data is small."""
 
-    def elect(bucket: pd.DataFrame) -> pd.DataFrame:
-        waiting = bucket.sort_values("id")[["id", "hashes"]].to_numpy().tolist()
-        edges = []
-        while len(waiting) > 1:
-            (leader, lead), *others = waiting
-            waiting = []
-            for node, own in others:
-                shared = len(np.intersect1d(own, lead, assume_unique=True))
-                if shared / (len(own) + len(lead) - shared) >= threshold:
-                    edges.append((node, leader))
-                else:
-                    waiting.append((node, own))
-        return pd.DataFrame(edges, columns=["id", "leader"], dtype="int64")
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` with the same components as all pairs that reach the similarity.
 
-    return members.groupBy("bucket").applyInPandas(elect, "id bigint, leader bigint").distinct()
+    The sets that share a key are first compared with the smallest of them. Then, where they are still
+    in several components, those outside the largest one are compared with all others of other
+    components. Pairs inside a component are never listed, none across components is left out.
+    """
+    keys = durable(_prefixes(sets, percent))
+    lead = keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("rows"))
+    led = attach_group_values(keys, lead, "key", "rows", "id", how="inner")
+    led = led.where("id <> lead.id").where(_fits("n", "lead.n", percent))
+    first = led.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
+    linked = durable(_confirmed(first, sets, percent))
+
+    parts = connected_components(linked, "a", "b").select(F.col("node").alias("id"), "component")
+    placed = keys.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("rows"))
+    mixed = sizes.groupBy("key").agg(F.max_by("part", "rows").alias("major"), F.count("*").alias("parts"))
+    placed = durable(placed.join(mixed.where("parts > 1"), "key").drop("parts"))
+    minor = placed.where("part <> major").select(
+        "key", F.col("id").alias("p"), F.col("n").alias("np"), F.col("part").alias("pp")
+    )
+    others = placed.select("key", F.col("id").alias("q"), F.col("n").alias("nq"), F.col("part").alias("pq"), "major")
+    met = minor.join(others, "key").where("pp <> pq AND (pq = major OR p < q)").where(_fits("np", "nq", percent))
+    pairs = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    return linked.union(durable(_confirmed(pairs, sets, percent)))
 
 
 def near_duplicates(
-    df: DataFrame,
-    id_col: str,
-    text_col: str,
-    threshold: float = 0.8,
-    bands: int = 16,
-    rows_per_band: int = 4,
-    words: int = SHINGLE_WORDS,
+    df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, words: int = SHINGLE_WORDS
 ) -> DataFrame:
     """``(id, is_near_duplicate, near_duplicate_cluster_id)`` with clusters of equal and alike texts.
 
-    Alike means a Jaccard similarity of the word shingles of at least ``threshold`` between texts that
-    share a MinHash band; clusters are connected components named by their smallest id. Two texts of
-    similarity s share a band with probability 1 - (1 - s^rows_per_band)^bands.
+    Alike means a Jaccard similarity of the word shingles of at least ``threshold``, taken in whole
+    percent. Clusters are the connected components of all alike pairs, named by their smallest id; no
+    pair is missed. Ids are whole numbers.
 
-    One pass over the texts leaves a digest and the band keys of each row. Equal texts are folded, and
-    the rest proceeds on one row per text. Within a band bucket every member is compared with the
-    bucket's leader. Members alike enough are settled; the others form the bucket anew and elect the
-    next leader, until nobody is left. So a member meets leaders only, never all others, and none is
-    skipped, however large its bucket. Only texts that met in a bucket are read a second time.
+    Equal texts are folded, and a prefix-filtered set join finds the pairs of the rest: see
+    ``_prefixes`` and ``_links``.
     """
-    scanned = durable(
-        _word_hashes(df, text_col, id_col).select(
-            id_col,
-            F.md5("__text").alias("__digest"),
-            _band_keys(F.col("__word_hashes"), words, bands, rows_per_band).alias("__bands"),
-        )
-    )
-    exact = durable(_with_exact_clusters(scanned.select(id_col, "__digest"), id_col).drop("__digest"))
+    percent = round(threshold * 100)
+    digests = durable(df.select(F.col(id_col), F.md5(normalized_text(text_col)).alias("__digest")))
+    exact = durable(_with_exact_clusters(digests, id_col).drop("__digest"))
     copies = exact.where(F.col("__first") != F.col(id_col)).select(id_col)
-    singles = scanned.select(id_col, "__bands").join(copies, id_col, "left_anti")
-    waiting = singles.select(F.col(id_col).cast("bigint").alias("id"), F.explode("__bands").alias("bucket"))
-    led = durable(_led(waiting))
-    met = led.select("id").union(led.select("leader")).distinct()
-    sets = _sets_of(df, met, id_col, text_col, words)
-    edges = None
-    while True:
-        compared = durable(_verified(led.select("id", "leader").distinct(), sets, threshold))
-        found = compared.where("alike").select("id", "leader")
-        edges = found if edges is None else edges.union(found)
-        unsettled = compared.where(~F.col("alike"))
-        if unsettled.isEmpty():
-            break
-        rest = durable(led.join(unsettled, ["id", "leader"], "left_semi").select("id", "bucket"))
-        members = rest.join(sets, "id")
-        if members.agg(F.sum(F.size("hashes")).alias("n")).first()["n"] <= FINISH_HASHES:
-            edges = edges.union(_remaining_edges(members, threshold))
-            break
-        led = durable(_led(rest))
-        if led.isEmpty():
-            break
-    clusters = connected_components(edges, "id", "leader").select(
+    singles = df.join(copies, id_col, "left_anti")
+    sets = durable(shingle_sets(singles, id_col, text_col, words))
+    edges = _links(sets.where(F.size("hashes") > 0), percent)
+    clusters = connected_components(edges, "a", "b").select(
         F.col("node").alias("__node"), F.col("component").alias("__cluster")
     )
     linked = exact.withColumn("__node", F.coalesce("__first", F.col(id_col)))

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInput
+from ..plans.lineage import durable
+from ..plans.positions import with_row_position
 
 # A block of vectors and one block-by-block similarity matrix fit easily into a Python worker.
 BLOCK_ROWS = 2048
-# Beyond this many vectors the exact search, which compares all of them, gives way to hashing.
-EXACT_LIMIT = 500_000
 # Similarities are compared after rounding, so that equal pairs tie whatever the order of summation.
 SIMILARITY_DIGITS = 9
 
@@ -91,6 +91,29 @@ def _block_neighbors(vectors: DataFrame, bucket_blocks: DataFrame | int, k: int)
     return keyed.groupBy("bucket", "low", "high").applyInPandas(_compare_blocks(k), schema)
 
 
+def _against_all(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Local top k of the query rows among all vectors, block against block."""
+    sides = []
+    counts = [max(1, math.ceil(t.count() / block_rows)) for t in (queries, vectors)]
+    for rows, own, other, name in ((queries, 0, 1, "i"), (vectors, 1, 0, "j")):
+        block = F.pmod(F.xxhash64("id"), F.lit(counts[own])).cast("int").alias(name)
+        meets = F.explode(F.sequence(F.lit(0), F.lit(counts[other] - 1))).alias("j" if name == "i" else "i")
+        sides.append(rows.select("id", "vec", "label", block, meets, F.lit(own == 0).alias("query")))
+
+    def run(pair: pd.DataFrame) -> pd.DataFrame:
+        rows, others = pair[pair["query"]], pair[~pair["query"]]
+        if not len(rows) or not len(others):
+            return pd.DataFrame(columns=["id", "neighbor_id", "similarity", "neighbor_label"])
+        sims = np.round(_unit(rows["vec"]) @ _unit(others["vec"]).T, SIMILARITY_DIGITS)
+        ids, other_ids = rows["id"].to_numpy(), others["id"].to_numpy()
+        i, j = _best(ids, other_ids, sims, k)
+        found = {"id": ids[i], "neighbor_id": other_ids[j], "similarity": sims[i, j]}
+        return pd.DataFrame(found | {"neighbor_label": others["label"].to_numpy()[j]})
+
+    schema = f"id bigint, neighbor_id bigint, similarity double, neighbor_label {dict(vectors.dtypes)['label']}"
+    return sides[0].unionByName(sides[1]).groupBy("i", "j").applyInPandas(run, schema)
+
+
 def _hash_buckets(vectors: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
     """Bucket numbers from signs of random projections, one bucket per table and vector."""
 
@@ -117,18 +140,19 @@ def nearest_neighbors(
     vector_col: str,
     k: int,
     label: Column | str | None = None,
-    method: str = "auto",
+    method: str = "exact",
     block_rows: int = BLOCK_ROWS,
     tables: int = 12,
-    bucket_rows: int = 4 * BLOCK_ROWS,
+    bits: int = 8,
     seed: int = 7,
 ) -> DataFrame:
     """``(id, neighbor_id, similarity, rank, neighbor_label)``: the k most similar other vectors.
 
-    Ties go to the smaller neighbour id. ``exact`` compares all vectors, block against block.
-    ``hashed`` compares vectors that share a random-hyperplane bucket in one of ``tables`` tables and
-    so may miss neighbours; buckets above the block size are compared block by block like the exact
-    search. ``auto`` is exact up to EXACT_LIMIT vectors.
+    Ties go to the smaller neighbour id. The caller names the method, at every size the same: ``exact``
+    compares all vectors, block against block. ``hashed`` compares vectors that share one of 2^``bits``
+    random-hyperplane buckets in one of ``tables`` tables and so may miss neighbours; buckets above the
+    block size are compared block by block like the exact search. Vectors that meet fewer than ``k``
+    others there, the isolated ones, are compared with all vectors, so no row is short of neighbours.
     """
     tag = F.lit(None).cast("string") if label is None else (F.col(label) if isinstance(label, str) else label)
     vectors = df.where(F.col(vector_col).isNotNull()).select(
@@ -137,18 +161,18 @@ def nearest_neighbors(
         tag.alias("label"),
     )
     total = vectors.count()
-    if method == "auto":
-        method = "exact" if total <= EXACT_LIMIT else "hashed"
     if method == "exact":
         found = _block_neighbors(vectors, max(1, math.ceil(total / block_rows)), k)
     elif method == "hashed":
-        bits = min(40, max(1, math.ceil(math.log2(max(2, total / bucket_rows)))))
         bucketed = _hash_buckets(vectors, tables, bits, seed)
         sizes = bucketed.groupBy("bucket").agg(F.count("*").alias("n"))
         blocks = sizes.select("bucket", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
-        found = _block_neighbors(bucketed, blocks, k).distinct()
+        found = durable(_block_neighbors(bucketed, blocks, k).distinct())
+        full = found.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, total - 1))
+        short = durable(vectors.join(full, "id", "left_anti"))
+        found = found.join(short, "id", "left_anti").unionByName(_against_all(short, vectors, k, block_rows))
     else:
-        raise InvalidInput("method must be 'auto', 'exact' or 'hashed'")
+        raise InvalidInput("method must be 'exact' or 'hashed'")
     best = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
     return (
         found.withColumn("rank", F.row_number().over(best))
@@ -172,8 +196,12 @@ def knn_pred_probs(neighbors: DataFrame, id_col: str, classes: Sequence) -> Data
 def outlier_scores(neighbors: DataFrame, id_col: str, quantile: float = 0.95) -> DataFrame:
     """Mean cosine distance to the neighbours, flagged above the given quantile of all scores."""
     scores = neighbors.groupBy(id_col).agg(F.avg(1 - F.col("similarity")).alias("outlier_score"))
-    limit = scores.agg(F.percentile_approx("outlier_score", quantile, 10_000)).scalar()
-    return scores.withColumn("is_outlier", F.col("outlier_score") > limit)
+    # The exact quantile: the score at its position in sorted ranges.
+    placed = with_row_position(scores, "__position", "outlier_score")
+    wanted = max(0, math.ceil(quantile * placed.count()) - 1)
+    row = placed.where(F.col("__position") == wanted).select("outlier_score").first()
+    limit = F.lit(row[0] if row else None).cast("double")
+    return placed.withColumn("is_outlier", F.coalesce(F.col("outlier_score") > limit, F.lit(False))).drop("__position")
 
 
 def label_classes(df: DataFrame, label: str, limit: int = 10_000) -> list:

@@ -122,7 +122,7 @@ def preview_sample(
         if len(indices) > 10:
             raise InvalidInput("a preview takes 10 rows at most")
         return positional_subset(df, list(indices), order_by)
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed)))), id_col).limit(n)
 
 
 def shift_row_id(df: DataFrame, col: str, by: int = -1, name: str | None = None) -> DataFrame:

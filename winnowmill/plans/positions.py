@@ -27,8 +27,10 @@ def _numbered(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     tagged = df.withColumn("__mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("__part", F.shiftright("__mid", _LOCAL_INDEX_BITS))
     local = F.col("__mid").bitwiseAND(F.lit(local_mask))
-    return tagged.join(F.broadcast(_offsets(tagged.select("__part"), "__part")), "__part").select(
-        *columns, (local + F.col("__offset")).cast("bigint").alias(name)
+    # A partition that was not counted fails the job; an inner join would drop its rows.
+    start = F.coalesce("__offset", F.raise_error(F.lit("a partition changed between counting and numbering")))
+    return tagged.join(F.broadcast(_offsets(tagged.select("__part"), "__part")), "__part", "left").select(
+        *columns, (local + start.cast("bigint")).cast("bigint").alias(name)
     )
 
 
@@ -37,13 +39,13 @@ def with_row_position(
 ) -> DataFrame:
     """Add the 0-based position of each row as ``name``.
 
-    With ``order_by`` the rows are range-partitioned and sorted, kept in the checkpoint folder so that
-    counting and numbering see the same partitions, and numbered per partition. Ties are ordered by a
-    hash of the row, which also lets a frequent key span several partitions. Without ``order_by``, the
-    position follows the order in which Spark reads the files.
+    The rows are kept in the checkpoint folder, so that counting and numbering see the same partitions,
+    and numbered per partition. With ``order_by`` they are range-partitioned and sorted before; ties are
+    ordered by a hash of the row, which also lets a frequent key span several partitions. Without it,
+    the position follows the order of the partitions, for a file scan that of the files.
     """
     if order_by is None:
-        return _numbered(df, df.columns, name)
+        return _numbered(durable(df), df.columns, name)
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     ordered = df.withColumn("__tie", F.xxhash64(*df.columns))
     ordered = ordered.repartitionByRange(*keys, "__tie").sortWithinPartitions(*keys, "__tie")
