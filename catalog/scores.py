@@ -1,5 +1,7 @@
 """Enrichment, row scoring, calibration and trust, with scorers that SQL can repeat."""
 
+import time
+
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -234,21 +236,77 @@ def pair_lists(spark, sf):
     return paired.withColumn("position", F.col("position").cast("bigint"))
 
 
-def _flaky(batch: pd.DataFrame) -> pd.DataFrame:
-    """Fails for the same rows every time."""
-    if batch["prompt"].str.contains("bolt").any():
-        raise RuntimeError("no bolts")
-    return echo(batch)
+def _flaky() -> object:
+    """Fails for prompts with "bolt" for good, and for those with "nut" until a row has been tried twice alone."""
+    seen: dict[str, int] = {}
+
+    def scorer(batch: pd.DataFrame) -> pd.DataFrame:
+        if batch["prompt"].str.contains("bolt").any():
+            raise RuntimeError("no bolts")
+        if batch["prompt"].str.contains("nut").any():
+            key = batch["prompt"].iloc[0]
+            if len(batch) == 1:
+                seen[key] = seen.get(key, 0) + 1
+            if len(batch) > 1 or seen[key] <= 2:
+                raise RuntimeError("not yet")
+            del seen[key]
+        return echo(batch)
+
+    return scorer
 
 
 @query("""
-SELECT p_partkey, CASE WHEN contains(p_name, 'bolt') THEN 'no bolts' END AS error, CASE WHEN contains(p_name, 'bolt') THEN true END AS retryable
+SELECT p_partkey, CASE WHEN contains(p_name, 'bolt') THEN 'no bolts' END AS error, CASE WHEN contains(p_name, 'bolt') THEN true END AS retryable,
+  (CASE WHEN contains(p_name, 'bolt') THEN 4 WHEN contains(p_name, 'nut') THEN 3 ELSE 1 END)::INTEGER AS attempts
 FROM part
 """)
 def retry_policy(spark, sf):
     scored = scoring.score_prompts(
-        table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", _flaky, "capture", policy=NO_WAIT
+        table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", _flaky(), "capture", policy=NO_WAIT,
+        attempts_col="attempts",
+    )
+    error = F.col("scored.log.error")
+    return scored.select(
+        "p_partkey", error["message"].alias("error"), error["retryable"].alias("retryable"), "attempts"
     )
+
+
+def _stalls(batch: pd.DataFrame) -> pd.DataFrame:
+    """Hangs on one prompt."""
+    if batch["prompt"].str.startswith("7 ").any():
+        time.sleep(30)
+    return echo(batch)
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey = 7 THEN 'the scorer took longer than 0.5 seconds' END AS error,
+  CASE WHEN p_partkey = 7 THEN true END AS retryable,
+  CASE WHEN p_partkey <> 7 THEN round((length(p_partkey || ' ' || p_name) % 97) / 97.0::DOUBLE, 6) END AS trustworthiness_score
+FROM part
+""")
+def score_prompts_timeout(spark, sf):
+    prompts = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_partkey", "p_name").alias("prompt"))
+    policy = scoring.RetryPolicy(retries=0, timeout=0.5, sleep=lambda seconds: None)
+    scored = scoring.score_prompts(prompts, "prompt", _stalls, "capture", policy=policy)
+    error = F.col("scored.log.error")
+    return scored.select(
+        "p_partkey", error["message"].alias("error"), error["retryable"].alias("retryable"),
+        rounded("scored.trustworthiness_score").alias("trustworthiness_score"),
+    )
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'the prompt is missing'
+    WHEN p_partkey % 3 = 1 THEN 'Prompt length exceeds maximum length of 70000 tokens' END AS error,
+  CASE WHEN p_partkey % 3 < 2 THEN false END AS retryable
+FROM part
+""")
+def input_validation(spark, sf):
+    """Rows that never reach the scorer: no prompt, or one that is too long."""
+    kind = F.col("p_partkey") % 3
+    text = F.when(kind == 1, F.repeat(F.lit("x"), 280_001)).when(kind == 2, F.col("p_name"))
+    rows = table(spark, sf, "part").select("p_partkey", text.alias("prompt"))
+    scored = scoring.score_prompts(rows, "prompt", echo, "capture", policy=NO_WAIT)
     error = F.col("scored.log.error")
     return scored.select("p_partkey", error["message"].alias("error"), error["retryable"].alias("retryable"))
 

@@ -1,6 +1,7 @@
 """Scorers: capture, retries, two stages, enrichment, calibration, trust."""
 
 import sys
+import threading
 
 import pandas as pd
 import pytest
@@ -90,6 +91,49 @@ def test_retry_waits():
     assert fails(RuntimeError("x"), 2)[0]["response"] == "p"
 
 
+def test_a_batch_is_halved_and_good_rows_are_sent_few_times():
+    calls = []
+
+    def scorer(batch):
+        calls.append(list(batch["prompt"]))
+        return grumpy(batch)
+
+    batch = pd.DataFrame({"prompt": [f"p{i}" for i in range(63)] + ["bad"]})
+    out = scoring._run_batch(scorer, batch, True, scoring.RetryPolicy(sleep=lambda s: None))
+    assert list(out["error_message"].dropna()) == ["bad prompt"] and len(calls) == 13
+    assert list(out["response"].dropna()) == list(batch["prompt"][:63])
+
+
+def test_waits_are_shared_by_a_batch():
+    waits = []
+
+    def down(batch):
+        raise ConnectionFailed("down")
+
+    policy = scoring.RetryPolicy(sleep=waits.append)
+    out = scoring._run_batch(down, pd.DataFrame({"prompt": ["p"] * 50}), True, policy)
+    assert list(out["error_message"]) == ["down"] * 50 and len(waits) == 20
+
+
+def test_timeout_and_deadline():
+    now = {"t": 0.0}
+
+    def slow(batch):
+        now["t"] += 1
+        if batch["prompt"].eq("hang").any():
+            threading.Event().wait(5)
+        return grumpy(batch)
+
+    policy = scoring.RetryPolicy(retries=0, timeout=0.2, sleep=lambda s: None)
+    out = scoring._run_batch(slow, pd.DataFrame({"prompt": ["a", "hang", "b"]}), True, policy)
+    assert list(out["error_message"].fillna("")) == ["", "the scorer took longer than 0.2 seconds", ""]
+    with pytest.raises(ScorerFailure, match="longer than 0.2"):
+        scoring._run_batch(slow, pd.DataFrame({"prompt": ["hang"]}), False, policy)
+    policy = scoring.RetryPolicy(deadline=3, clock=lambda: now["t"], sleep=lambda s: None)
+    out = scoring._run_batch(slow, pd.DataFrame({"prompt": ["down"] * 40}), True, policy)
+    assert "the batch took longer than 3 seconds" in set(out["error_message"]) and now["t"] < 20
+
+
 def test_input_checks(spark):
     df = prompts(spark, "a")
     for call in (

@@ -35,5 +35,9 @@ class RateLimited(ScorerFailure):
         self.retry_after = retry_after
 
 
+class TimedOut(ScorerFailure):
+    """A call took longer than the policy allows, or the time for the batch is used up."""
+
+
 class ConnectionFailed(ScorerFailure):
     """The scorer could not be reached; retried more often than other failures."""

@@ -12,6 +12,7 @@ task still calls the scorer again: write the result out before using it more tha
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import BadRequest, ConnectionFailed, InvalidInput, RateLimited, ScorerFailure
+from ..errors import BadRequest, ConnectionFailed, InvalidInput, RateLimited, ScorerFailure, TimedOut
 from ..functions.text import constrain_outputs
 from ..functions.typing import in_unit_range
 
@@ -49,12 +50,19 @@ CHARACTERS_PER_TOKEN = 4
 
 @dataclass(frozen=True)
 class RetryPolicy:
-    """How often a failing row is tried again, and how long to wait in between (seconds)."""
+    """How often a failing row is tried again, and how long to wait in between (seconds).
+
+    ``timeout`` bounds one call of the scorer, ``deadline`` all calls and waits for one batch. Waits for
+    a scorer that cannot be reached are counted for the batch, not for each of its rows.
+    """
 
     retries: int = 3
     connection_retries: int = 20
     longest_wait: float = 60.0
     sleep: Callable[[float], None] = field(default=time.sleep)
+    timeout: float | None = None
+    deadline: float | None = None
+    clock: Callable[[], float] = field(default=time.monotonic)
 
 
 def length_error(prompt: Column | str, response: Column | str | None = None, row: Column | str | None = None) -> Column:
@@ -92,52 +100,115 @@ def length_error(prompt: Column | str, response: Column | str | None = None, row
     )
 
 
-def _scored_once(scorer: Scorer, row: pd.DataFrame, policy: RetryPolicy) -> tuple[pd.Series | None, str, bool, int]:
+def _call(scorer: Scorer, rows: pd.DataFrame, policy: RetryPolicy) -> pd.DataFrame:
+    """The scorer's answer for these rows, within the time that the policy gives it."""
+    if policy.timeout is None:
+        out = scorer(rows)
+    else:
+        box: dict = {}
+
+        def work() -> None:
+            try:
+                box["out"] = scorer(rows)
+            except BaseException as e:
+                box["error"] = e
+
+        # A call that hangs cannot be ended from outside; a daemon thread does not keep the worker alive.
+        thread = threading.Thread(target=work, daemon=True)
+        thread.start()
+        thread.join(policy.timeout)
+        if "error" in box:
+            raise box["error"]
+        if "out" not in box:
+            raise TimedOut(f"the scorer took longer than {policy.timeout} seconds")
+        out = box["out"]
+    if len(out) != len(rows):
+        raise ScorerFailure("scorer returned a different number of rows", False)
+    return out
+
+
+class _Waits:
+    """The connection failures in a row and the time used so far, for one batch."""
+
+    def __init__(self, policy: RetryPolicy):
+        self.policy, self.connection, self.began = policy, 0, policy.clock()
+
+    def check(self) -> None:
+        if self.policy.deadline is not None and self.policy.clock() - self.began > self.policy.deadline:
+            raise TimedOut(f"the batch took longer than {self.policy.deadline} seconds")
+
+    def after(self, error: ScorerFailure) -> bool:
+        """Waits as the error asks; False if there have been too many waits."""
+        if isinstance(error, RateLimited):
+            self.policy.sleep(error.retry_after)
+            return True
+        if self.connection >= self.policy.connection_retries:
+            return False
+        self.policy.sleep(min(2.0**self.connection, self.policy.longest_wait))
+        self.connection += 1
+        return True
+
+
+def _scored_once(
+    scorer: Scorer, row: pd.DataFrame, policy: RetryPolicy, waits: _Waits | None = None
+) -> tuple[pd.Series | None, str, bool, int]:
     """One row, tried as often as the policy allows: (result, error message, retryable, attempts)."""
-    general = connection = attempts = 0
+    waits = waits or _Waits(policy)
+    general = attempts = 0
     while True:
-        attempts += 1
         try:
-            out = scorer(row)
-            if len(out) != 1:
-                raise ScorerFailure("scorer returned a different number of rows", False)
+            waits.check()
+            attempts += 1
+            out = _call(scorer, row, policy)
+            waits.connection = 0
             return out.iloc[0], "", False, attempts
         except BadRequest as e:
             return None, e.message, e.retryable, attempts
-        except RateLimited as e:
-            policy.sleep(e.retry_after)
-        except ConnectionFailed as e:
-            if connection >= policy.connection_retries:
+        except (RateLimited, ConnectionFailed) as e:
+            if not waits.after(e):
                 return None, e.message, True, attempts
-            policy.sleep(min(2.0**connection, policy.longest_wait))
-            connection += 1
         except Exception as e:
-            if general >= policy.retries:
+            if general >= policy.retries or attempts == 0:
                 return None, str(e), getattr(e, "retryable", True), attempts
             policy.sleep(2.0**general)
             general += 1
 
 
 def _run_batch(scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: RetryPolicy) -> pd.DataFrame:
-    """Score a batch in one call; if that fails, row by row, so that one bad row costs only itself."""
-    try:
-        out = scorer(batch)
-        if len(out) == len(batch):
-            out = out.reset_index(drop=True)
-            out.index = batch.index
-            return out.assign(attempts=1)
-    except Exception:
-        pass
-    rows = []
-    for place in range(len(batch)):
-        result, message, retryable, attempts = _scored_once(scorer, batch.iloc[[place]], policy)
+    """Score a batch in one call; a part that fails is halved, so that one bad row costs few calls.
+
+    While the scorer cannot be reached or asks to wait, the same part is tried again, not its rows one
+    by one. Each row of the result has its number of calls as the part that settled it saw them.
+    """
+    waits, parts, open_ = _Waits(policy), [], [(0, len(batch))]
+    while open_:
+        start, end = open_.pop()
+        part = batch.iloc[start:end]
+        if end - start > 1:
+            try:
+                waits.check()
+                out = _call(scorer, part, policy).reset_index(drop=True)
+                waits.connection = 0
+                out.index = part.index
+                parts.append(out.assign(attempts=1))
+                continue
+            except (RateLimited, ConnectionFailed) as e:
+                if waits.after(e):
+                    open_.append((start, end))
+                    continue
+            except Exception:  # which row is to blame shows when a single one fails
+                pass
+            middle = (start + end) // 2
+            open_ += [(middle, end), (start, middle)]
+            continue
+        result, message, retryable, attempts = _scored_once(scorer, part, policy, waits)
         if result is None and not capture:
             raise ScorerFailure(message, retryable)
         cells = {} if result is None else result.to_dict()
         if result is None:
             cells |= {"error_message": message, "error_retryable": retryable}
-        rows.append(cells | {"attempts": attempts})
-    return pd.DataFrame(rows, index=batch.index)
+        parts.append(pd.DataFrame([cells | {"attempts": attempts}], index=part.index, dtype="object"))
+    return pd.concat([p.astype("object") for p in parts]).loc[batch.index] if parts else pd.DataFrame(index=batch.index)
 
 
 def _scorer_expression(scorer: Scorer, names: list[str], capture: bool, policy: RetryPolicy):
