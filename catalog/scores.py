@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from winnowmill.errors import BadRequest
 from winnowmill.functions import probabilities
 from winnowmill.operators import calibrate, enrich, predict, scoring, trust
+from winnowmill.plans.lineage import durable
 
 from .registry import SQUARE_CLASSES, SQUARES, query, rounded, rounded_array, square_probs, table
 
@@ -317,7 +318,24 @@ def normalize_ratings(spark, sf):
     return calibrate.normalize_ratings(events, "value").withColumn("value", rounded("value"))
 
 
-@query()
+def _isotonic(n: int) -> str:
+    """The weighted isotonic fit of points p{n}: the greatest lower bound of means over all runs."""
+    return f"""
+p{n} AS (SELECT x{n} AS x, avg(r) AS y, count(*) AS w, row_number() OVER (ORDER BY x{n}) AS i FROM rated GROUP BY x{n}),
+c{n} AS (SELECT *, sum(y * w) OVER (ORDER BY i) AS sy, sum(w) OVER (ORDER BY i) AS sw FROM p{n}),
+m{n} AS (SELECT j.i AS j, k.i AS k, (k.sy - j.sy + j.y * j.w) / (k.sw - j.sw + j.w) AS a FROM c{n} j JOIN c{n} k ON k.i >= j.i),
+f{n} AS (SELECT x, max(low) AS y FROM (SELECT p.i, p.x, j, min(a) AS low FROM p{n} p JOIN m{n} ON j <= p.i AND k >= p.i GROUP BY ALL) GROUP BY x)
+"""
+
+
+@query(f"""
+WITH rated AS (
+  SELECT doc_id, quality::DOUBLE AS r, round((n_chars % 97) / 97.0::DOUBLE * 10000) / 10000 AS x1,
+         round(1.0::DOUBLE / (1 + n_chars) * 10000) / 10000 AS x2
+  FROM documents JOIN labels USING (doc_id)),
+{_isotonic(1)}, {_isotonic(2)}
+SELECT doc_id, round((f1.y + f2.y) / 2, 6) AS calibrated_score FROM rated JOIN f1 ON f1.x = x1 JOIN f2 ON f2.x = x2
+""")
 def calibrate_scores(spark, sf):
     rated = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     features = F.array((F.col("n_chars") % 97) / F.lit(97.0), 1 / (1 + F.col("n_chars")))
@@ -326,6 +344,23 @@ def calibrate_scores(spark, sf):
     return model.transform(rows).select("doc_id", rounded("calibrated_score").alias("calibrated_score"))
 
 
+@query(f"""
+WITH {PAIRS}, rated AS (
+  SELECT conv_id, turn, (length(response) % 10) / 9.0::DOUBLE AS r,
+         round(length(response)::DOUBLE / (length(prompt) + length(response)) * 100) / 100 AS x1,
+         round(1.0::DOUBLE / (1 + length(response)) * 100) / 100 AS x2 FROM pairs),
+{_isotonic(1)}, {_isotonic(2)}
+SELECT conv_id, turn, round((f1.y + f2.y) / 2, 6) AS calibrated_score FROM rated JOIN f1 ON f1.x = x1 JOIN f2 ON f2.x = x2
+""")
+def score_pairs_calibrated(spark, sf):
+    """Pairs scored, a calibration fitted to ratings of the same pairs, and its score in every result."""
+    scored = scoring.score_pairs(_pairs(spark, sf), "prompt", "response", pair_scorer)
+    scored = durable(scored.withColumn("rating", (F.length("response") % 10).cast("double")))
+    model = calibrate.Calibration(2, grid=100).fit(scoring.score_features(scored, "scored", criteria=1), "rating")
+    out = calibrate.with_calibrated_score(scored, "scored", model)
+    return out.select("conv_id", "turn", rounded("scored.calibrated_score").alias("calibrated_score"))
+
+
 @query(f"""
 WITH {SQUARES} SELECT vec_id, classes[list_position(probs, list_max(probs))] AS predicted_label FROM squares
 """)

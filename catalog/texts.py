@@ -15,6 +15,20 @@ def render_prompt_format(spark, sf):
     return part.select("p_partkey", prompt.alias("prompt"))
 
 
+@query("""
+SELECT p_partkey, 'Part [' || rpad(p_brand, 12, ' ') || '] size ' || lpad(p_size::VARCHAR, 4, '0') || ' number '
+  || format('{:,}', p_partkey * 1000) || ' at ' || format('{:.2f}', round(p_retailprice, 2)) || '|' || lpad(left(p_name, 5), 8, '*') AS prompt
+FROM part
+""")
+def render_prompt_spec(spark, sf):
+    part = table(spark, sf, "part").withColumn("n", F.col("p_partkey") * 1000)
+    part = part.withColumn("price", F.round("p_retailprice", 2))
+    prompt = text.render_prompt(
+        part, "Part [{p_brand:12}] size {p_size:04d} number {n:,} at {price:.2f}|{p_name:*>8.5s}"
+    )
+    return part.select("p_partkey", prompt.alias("prompt"))
+
+
 @query("SELECT c_custkey, 'Customer ' || c_name || 's segment costs $5: ' || c_mktsegment AS prompt FROM customer")
 def render_prompt_template(spark, sf):
     customer = table(spark, sf, "customer")

@@ -92,11 +92,11 @@ def test_vectors(spark):
 
 def test_predictions(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0, 0.0]), (2, [0.5, 0.0, 0.5])], "id int, p array<double>")
-    one = with_predictions(df, "p", ["bear", "cat", "dog"])
-    assert one.columns == ["id", "predicted_label", "bear", "cat", "dog"]
-    assert [r.predicted_label for r in one.collect()] == ["cat", "bear"]
-    many = with_predictions(df, "p", ["bear", "cat", "dog"], multi_label=True, prob_columns=False)
-    assert [r.predicted_label for r in many.collect()] == [["cat"], ["bear", "dog"]]
+    one = with_predictions(df, "p", ["oak", "ash", "elm"])
+    assert one.columns == ["id", "predicted_label", "oak", "ash", "elm"]
+    assert [r.predicted_label for r in one.collect()] == ["ash", "oak"]
+    many = with_predictions(df, "p", ["oak", "ash", "elm"], multi_label=True, prob_columns=False)
+    assert [r.predicted_label for r in many.collect()] == [["ash"], ["oak", "elm"]]
     texts = spark.createDataFrame([(1, "aa"), (2, "b")], "id int, t string")
 
     def model(s):

@@ -37,7 +37,7 @@ def test_template_style_and_prefix(spark):
 
 def test_prompt_errors(spark):
     df = spark.createDataFrame([("v",)], "name string")
-    for prompt, style in (("", "format"), ("{nope}", "format"), ("{}", "format"), ("{name:>3}", "format"), ("$1", "template"), ("x", "other")):
+    for prompt, style in (("", "format"), ("{nope}", "format"), ("{}", "format"), ("{name:3d}", "format"), ("$1", "template"), ("x", "other")):
         with pytest.raises(InvalidInput):
             text.render_prompt(df, prompt, style)
 
@@ -120,3 +120,14 @@ def test_http_dates(spark):
     texts = ["Tue, 05 Mar 2024 10:11:12 GMT", "Tue, 5 Mar 2024 10:11:12 UTC", "Tue, 99 Mar 2024 10:11:12 GMT", "2024-03-05", None]
     got = apply(spark, texts, lambda c: F.date_format(text.parse_http_date(c), "yyyy-MM-dd HH:mm:ss"))
     assert got == ["2024-03-05 10:11:12"] * 2 + [None] * 3
+
+
+def test_format_specifiers(spark):
+    df = spark.createDataFrame([(1234567, -5, 2.71828, "naïve", True)], "big long, small int, x double, s string, b boolean")
+    prompt = "{big:,}|{small:04d}|{small:>6}|{x:.3f}|{x:10.1f}|{s:8}|{s:^9}|{s:.2s}|{s:->7}|{b:6}|{big!s}|{big:,.1f}"
+    row = df.first()
+    want = prompt.format(**{**row.asDict(), "b": "True"})
+    assert df.select(text.render_prompt(df, prompt)).first()[0] == want
+    for bad in ("{s:d}", "{x:d}", "{x!r}", "{x:.2e}", "{x:{big}}"):
+        with pytest.raises(InvalidInput):
+            text.render_prompt(df, bad)

@@ -56,18 +56,60 @@ def text_of(df: DataFrame, name: str) -> Column:
     return F.coalesce(col.cast("string"), F.lit("None"))
 
 
-def template_parts(prompt: str, style: str = "format") -> list[tuple[str, str | None]]:
-    """Pairs (literal text, column name or None) of a prompt template."""
+_SPEC = re.compile(r"(?:(.)?([<>^]))?(0)?(\d+)?(,)?(?:\.(\d+))?([dfs])?", re.DOTALL)
+
+
+def _specified(df: DataFrame, name: str, spec: str) -> Column:
+    """A column under a format specifier: fill, alignment, width, thousands, decimals and d, f or s.
+
+    Numbers are right-aligned, texts left-aligned. Decimals round half up on the shortest decimal form.
+    """
+    hit = _SPEC.fullmatch(spec)
+    kind = df.schema[name].dataType if name in df.columns else None
+    number = isinstance(kind, T.NumericType)
+    if hit is None or (hit[7] in ("d", "f") or hit[5] or hit[3]) and not number:
+        raise InvalidInput(f"format specifier {spec!r} does not fit column {name}")
+    fill, align, zero, width, thousands, decimals, form = hit.groups()
+    whole = isinstance(kind, T.IntegralType)
+    if form == "d" and not whole or number and not whole and decimals and form != "f":
+        raise InvalidInput(f"format specifier {spec!r} does not fit column {name}")
+    plain = text_of(df, name)
+    if not number:
+        shown = F.substring(plain, 1, int(decimals)) if decimals else plain
+    elif form == "f":
+        pattern = f"%{thousands or ''}.{decimals or 6}f"
+        shown = F.coalesce(F.format_string(pattern, F.col(f"`{name}`").cast("double")), F.lit("None"))
+        shown = F.when(F.col(f"`{name}`").isNull(), plain).otherwise(shown)
+    elif thousands:
+        head, tail = F.substring_index(plain, ".", 1), F.regexp_extract(plain, r"\..*$", 0)
+        shown = F.concat(F.regexp_replace(head, r"(?<=\d)(?=(\d{3})+$)", ","), tail)
+    else:
+        shown = plain
+    size = int(width or 0)
+    if not size:
+        return shown
+    room = F.greatest(F.lit(size) - F.length(shown), F.lit(0))
+    pad = lambda n: F.repeat(F.lit(fill or ("0" if zero else " ")), n)
+    align = align or (">" if number else "<")
+    if zero and not fill and number:
+        sign = F.regexp_extract(shown, "^-", 0)
+        return F.concat(sign, pad(room), F.regexp_replace(shown, "^-", ""))
+    left = {"<": F.lit(0), ">": room, "^": F.floor(room / 2).cast("int")}[align]
+    return F.concat(pad(left), shown, pad(room - left))
+
+
+def template_parts(prompt: str, style: str = "format") -> list[tuple[str, str | None, str]]:
+    """Triples (literal text, column name or None, format specifier) of a prompt template."""
     if not prompt:
         raise InvalidInput("the prompt must not be empty")
     if style == "format":
         parts = []
         for literal, field, spec, conversion in string.Formatter().parse(prompt):
-            if spec or conversion:
-                raise InvalidInput(f"format specifiers are not supported: {field}")
+            if conversion not in (None, "s") or "{" in (spec or ""):
+                raise InvalidInput(f"conversions and nested specifiers are not supported: {field}")
             if field == "":
                 raise InvalidInput("positional fields are not supported")
-            parts.append((literal, field))
+            parts.append((literal, field, spec or ""))
         return parts
     if style == "template":
         parts, end = [], 0
@@ -76,20 +118,20 @@ def template_parts(prompt: str, style: str = "format") -> list[tuple[str, str |
             name = hit.group("named") or hit.group("braced")
             if hit.group("invalid") is not None:
                 raise InvalidInput(f"invalid placeholder at character {hit.start()}")
-            parts.append((literal, name) if name else (literal + "$", None))
+            parts.append((literal, name, "") if name else (literal + "$", None, ""))
             end = hit.end()
-        return [*parts, (prompt[end:], None)]
+        return [*parts, (prompt[end:], None, "")]
     raise InvalidInput(f"unknown template style: {style}")
 
 
 def render_prompt(df: DataFrame, prompt: str, style: str = "format", prefix: str = "") -> Column:
     """The prompt of each row. ``prefix`` is put in front as it stands, braces and all."""
     pieces: list[Column] = [F.lit(prefix)] if prefix else []
-    for literal, name in template_parts(prompt, style):
+    for literal, name, spec in template_parts(prompt, style):
         if literal:
             pieces.append(F.lit(literal))
         if name is not None:
-            pieces.append(text_of(df, name))
+            pieces.append(_specified(df, name, spec) if spec else text_of(df, name))
     return F.concat(*pieces)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInput, NotCalibrated
+from .scoring import score_features_of
 
 # Scores are read on this grid when fitting, so a fit never sees more than GRID + 1 distinct values
 # per feature and a model stays small whatever the number of ratings.
@@ -25,10 +26,15 @@ def normalize_ratings(df: DataFrame, col: str, out_col: str | None = None) -> Da
 
 @dataclass
 class Calibration:
-    """Increasing map from a feature array to [0, 1]: the mean of one isotonic fit per feature."""
+    """Increasing map from a feature array to [0, 1]: the mean of one isotonic fit per feature.
+
+    Scores are read on a grid of ``grid`` steps, when fitting and when transforming alike, which bounds
+    the points of a fit.
+    """
 
     n_features: int
     models: list[IsotonicRegressionModel] | None = None
+    grid: int = GRID
 
     def fit(self, df: DataFrame, ratings: str, features: str = "features") -> "Calibration":
         """``features`` is an array of scores in [0, 1]. Rows without a rating or a score are left out."""
@@ -48,7 +54,7 @@ class Calibration:
         scaled = normalize_ratings(known, ratings, "__rating")
         self.models = []
         for i in range(self.n_features):
-            score = F.round(F.col(features)[i] * GRID) / GRID
+            score = F.round(F.col(features)[i] * self.grid) / self.grid
             points = (
                 scaled.select(score.alias("x"), "__rating")
                 .where(F.col("x").isNotNull())
@@ -67,9 +73,26 @@ class Calibration:
         out, names = df, []
         for i, model in enumerate(self.models):
             name, source = f"__y{i}", f"__x{i}"
-            scored = out.withColumn(source, F.coalesce(F.col(features)[i], F.lit(0.0)))
+            score = F.round(F.col(features)[i] * self.grid) / self.grid
+            scored = out.withColumn(source, F.coalesce(score, F.lit(0.0)))
             out = model.copy({model.featuresCol: source, model.predictionCol: name}).transform(scored)
             names.append(name)
         complete = ~F.exists(F.col(features), lambda f: f.isNull())
         mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
         return out.select(*df.columns, F.when(complete, mean).alias(out_col))
+
+
+def with_calibrated_score(df: DataFrame, result: str, calibration: Calibration) -> DataFrame:
+    """Scored rows whose result struct ``result`` has a ``calibrated_score`` as well.
+
+    The features are the trust score and the custom criteria of the result; null for rows with an error.
+    """
+    failed = F.col(result)["log"]["error"].isNotNull()
+    nothing = F.array_repeat(F.lit(None).cast("double"), calibration.n_features)
+    good = df.withColumn("__failed", failed)
+    features = score_features_of(F.col(result), calibration.n_features)
+    rows = calibration.transform(
+        good.withColumn("__features", F.when(F.col("__failed"), nothing).otherwise(features)), "__features", "__calibrated"
+    )
+    calibrated = F.col(result).withField("calibrated_score", F.col("__calibrated"))
+    return rows.withColumn(result, calibrated).drop("__failed", "__features", "__calibrated")

@@ -441,18 +441,20 @@ def pair_lists(df: DataFrame, prompts: str, responses: str, row_id: str) -> Data
     )
 
 
-def score_features(df: DataFrame, result: str, criteria: int = 0, out_col: str = "features") -> DataFrame:
-    """Feature array [trust score, custom criterion scores...]; a row with another count fails."""
+def score_features_of(result: Column, count: int) -> Column:
+    """Feature array of a result: trust score, custom criterion scores; another count than ``count`` fails."""
     scores = F.transform(
         F.coalesce(
-            F.col(result)["log"]["custom_eval_criteria"],
+            result["log"]["custom_eval_criteria"],
             F.array().cast("array<struct<name:string,score:double>>"),
         ),
         lambda c: c["score"],
     )
-    features = F.concat(F.array(F.col(result)["trustworthiness_score"]), scores)
-    message = f"expected {criteria} custom criteria besides the trust score"
-    checked = F.when(F.size(features) == criteria + 1, features).otherwise(
-        F.raise_error(F.lit(message)).cast("array<double>")
-    )
-    return df.withColumn(out_col, checked)
+    features = F.concat(F.array(result["trustworthiness_score"]), scores)
+    message = f"expected {count - 1} custom criteria besides the trust score"
+    return F.when(F.size(features) == count, features).otherwise(F.raise_error(F.lit(message)).cast("array<double>"))
+
+
+def score_features(df: DataFrame, result: str, criteria: int = 0, out_col: str = "features") -> DataFrame:
+    """Feature array [trust score, custom criterion scores...]; a row with another count fails."""
+    return df.withColumn(out_col, score_features_of(F.col(result), criteria + 1))
