@@ -342,3 +342,18 @@ def test_public_vocabulary():
     texts = [r[1] or "" for r in awkward(30)] + ["漢字 <unk>x <s>", "  two  blanks", "▁▁", "😀😀 a"]
     assert [counter.of_text(t)[0] for t in texts] == [len(tokenizer.encode(t).ids) for t in texts]
 
+
+
+def test_lm_scores_do_not_depend_on_the_size_of_a_filter(docs):
+    """A small filter means more ranges of hashes; no n-gram is given up, so only false probes differ."""
+    whole, small = by_id(lm.score_documents(docs)), by_id(lm.score_documents(docs, filter_bytes=2000))
+    close = sum(abs(small[i]["score"] - r["score"]) <= 0.02 * abs(r["score"]) + 0.5 for i, r in whole.items())
+    assert close >= 0.97 * len(whole)
+
+
+def test_lm_chunks_of_any_size_give_the_same(docs, monkeypatch):
+    whole = by_id(lm.score_documents(docs))
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1000)
+    small = by_id(lm.score_documents(docs))
+    assert small.keys() == whole.keys()
+    assert all(small[i]["score"] == pytest.approx(r["score"], rel=1e-9) for i, r in whole.items())
