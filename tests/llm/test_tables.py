@@ -69,6 +69,17 @@ def test_urls_without_rows_or_labels(spark, judged):
     assert rows.where("rule IS NULL AND verdict <> 'allow'").count() == 0 and rows.count() == pages.count()
 
 
+def test_urls_without_labels_join_no_others(spark):
+    parts = {"good": 0, "new": None, "bad": 1}
+    places = [(f"/{part}/{i}", bad) for part, bad in parts.items() for i in range(40)]
+    pages = spark.createDataFrame([(f"x://h{p}",) for p, _ in places], "url string").withColumn("page_id", F.col("url"))
+    known = spark.createDataFrame([("h", p, b) for p, b in places if b is not None], "host string, path string, bad int")
+    got = {r["path"]: r for r in urls.filter_urls(pages, known, []).collect()}
+    assert all(got[p]["verdict"] == ("block" if b else "allow") for p, b in places if b is not None)
+    assert {got[p]["template"] for p, b in places if b is None} == {"/new/*"}
+    assert all(got[p]["purity"] == pytest.approx(0.5) for p, b in places if b is None)
+
+
 NASTY = ["", "a", "<|im_end|>", r"<\|", r"<\\|x<|<\|", "<<||>>|<", "line\nbreak", "%0A%25", "<|image|>", "é😀", "\\", "|", "<"]
 
 

@@ -18,6 +18,8 @@ MAX_DEPTH = 8
 PRIOR_PAGES = 10.0
 #: Branches whose shares of bad pages differ by fewer standard errors are merged.
 SIMILAR = 2.58
+#: Fewer labelled pages do not differ from as many others by SIMILAR; such branches bridge no others.
+MIN_LABELLED = 4
 REJECT = 0.5
 
 
@@ -62,7 +64,8 @@ def path_templates(pages: DataFrame, folder_name: str = "url-templates") -> Data
     and, if the node has more than MAX_CHILDREN distinct ones, those with less than MIN_SHARE of its
     pages are taken for a variable and become one wildcard.
     The branches of a node, at most a few dozen, are sorted by their share of bad pages, and neighbours
-    that do not differ significantly are merged into one branch, "en|fr". A branch's purity is its share
+    that do not differ significantly are merged into one branch, "en|fr". Branches with fewer than
+    MIN_LABELLED labelled pages form one by themselves. A branch's purity is its share
     of bad labelled pages, smoothed towards its parent's, the root's towards that of all pages.
     """
     labels = [F.count("bad").cast("double").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).cast("double").alias("bads")]
@@ -119,18 +122,19 @@ def path_templates(pages: DataFrame, folder_name: str = "url-templates") -> Data
 def _merged(branches: DataFrame, node: list[str]) -> DataFrame:
     """Branches with the name and purity of the branch they are merged into."""
     rated = branches.withColumn("rate", _purity("bads", "labelled", F.col("parent")))
-    order = Window.partitionBy(*node).orderBy("rate", "literal")
+    # Without labels nothing tells branches apart: these stay out of the order and join no others.
+    rated = rated.withColumn("weak", F.col("labelled") < MIN_LABELLED)
+    order = Window.partitionBy(*node, "weak").orderBy("rate", "literal")
     n, m = F.col("labelled"), F.lag("labelled").over(order)
     bads = F.lag("bads").over(order)
     pooled = (F.col("bads") + bads) / (n + m)
     error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
     apart = F.abs(F.col("bads") / n - bads / m) > error * SIMILAR
-    # Without labels there is nothing that tells branches apart.
-    starts = F.when((n > 0) & (m > 0), apart).otherwise(F.lit(False))
+    starts = F.when(~F.col("weak") & m.isNotNull(), apart).otherwise(F.lit(False))
     grouped = rated.withColumn("starts", F.coalesce(starts, F.lit(False)).cast("int"))
     grouped = grouped.withColumn("run", F.sum("starts").over(order)).drop("starts")
     safe = F.replace(F.replace(F.replace("literal", F.lit("%"), F.lit("%25")), F.lit("*"), F.lit("%2A")), F.lit("|"), F.lit("%7C"))
-    whole = Window.partitionBy(*node, "run")
+    whole = Window.partitionBy(*node, "weak", "run")
     names = F.sort_array(F.collect_list(F.coalesce(safe, F.lit("*"))).over(whole))
     sums = grouped.select(
         *node, "literal", "parent", F.array_join(names, "|").alias("branch"),
