@@ -80,6 +80,18 @@ def test_urls_without_labels_join_no_others(spark):
     assert all(got[p]["purity"] == pytest.approx(0.5) for p, b in places if b is None)
 
 
+def test_urls_keep_small_sections_of_large_nodes(spark):
+    """60 equal sections, under 2% each, and ids that occur once: the one bad section is found."""
+    places = [(f"/s{k}/{i}", int(k == 7)) for k in range(60) for i in range(12)] + [(f"/{10**6 + i}", 0) for i in range(40)]
+    pages = spark.createDataFrame([(f"x://h{p}",) for p, _ in places], "url string").withColumn("page_id", F.col("url"))
+    known = spark.createDataFrame([("h", p, b) for p, b in places], "host string, path string, bad int")
+    got = {r["path"]: r for r in urls.filter_urls(pages, known, []).collect()}
+    assert len(got) == len(places)
+    assert all(got[p]["verdict"] == ("block" if b else "allow") for p, b in places)
+    assert {got[p]["template"] for p, b in places if b} == {"/s7/*"}
+    assert {got[p]["template"].split("/")[1].rsplit("|", 1)[1] for p, b in places if not b} == {"%+10"}
+
+
 NASTY = ["", "a", "<|im_end|>", r"<\|", r"<\\|x<|<\|", "<<||>>|<", "line\nbreak", "%0A%25", "<|image|>", "é😀", "\\", "|", "<"]
 
 

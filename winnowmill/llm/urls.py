@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import col, stored
 
-#: A node with more distinct segments than this keeps only those with at least MIN_SHARE of its pages.
-MAX_CHILDREN = 20
-MIN_SHARE = 0.02
+#: Where most distinct segments have one page, those with fewer pages than this are chance repeats of ids.
+MIN_PAGES = 5
+#: A merged branch names this many of its segments, and the number of the others as "%+n".
+NAMED = 50
 #: Segments beyond this depth form one segment together.
 MAX_DEPTH = 8
 #: Weight, in labelled pages, of the parent's purity in that of a node.
@@ -61,9 +62,9 @@ def path_templates(pages: DataFrame, folder_name: str = "url-templates") -> Data
     """``(row, template, purity)`` for pages ``(row, host, path, bad)``; ``bad`` is 1, 0 or null (no label).
 
     Level by level, from each host's root: the segments below a node are counted. Those of one page only
-    and, if the node has more than MAX_CHILDREN distinct ones, those with less than MIN_SHARE of its
-    pages are taken for a variable and become one wildcard.
-    The branches of a node, at most a few dozen, are sorted by their share of bad pages, and neighbours
+    and, where these are most, those of fewer than MIN_PAGES are taken for a variable and become one
+    wildcard; all others stay, however many a node has.
+    The branches of a node are sorted by their share of bad pages, and neighbours
     that do not differ significantly are merged into one branch, "en|fr". Branches with fewer than
     MIN_LABELLED labelled pages form one by themselves. A branch's purity is its share
     of bad labelled pages, smoothed towards its parent's, the root's towards that of all pages.
@@ -91,11 +92,10 @@ def path_templates(pages: DataFrame, folder_name: str = "url-templates") -> Data
             F.count("*").alias("n"), *labels, F.max("purity").alias("parent")
         )
         children = stored(children, folder_name)
-        sums = children.groupBy(*node).agg(F.sum("n").alias("all_n"), F.count("*").alias("distinct"))
-        share = (F.col("distinct") <= MAX_CHILDREN) | (F.col("n") >= F.col("all_n") * MIN_SHARE)
-        share &= F.col("n") > 1
+        ids = children.groupBy(*node).agg((F.avg((F.col("n") == 1).cast("int")) > 0.5).alias("ids"))
+        share = (F.col("n") >= MIN_PAGES) | ((F.col("n") > 1) & ~F.col("ids"))
         # The wildcard is null until it gets its name, so no segment is mistaken for it.
-        named = children.join(sums, node).withColumn("literal", F.when(share, F.col("depth_segment")))
+        named = children.join(ids, node).withColumn("literal", F.when(share, F.col("depth_segment")))
         branches = named.groupBy(*node, "literal").agg(
             F.sum("labelled").alias("labelled"), F.sum("bads").alias("bads"), F.max("parent").alias("parent")
         )
@@ -135,9 +135,14 @@ def _merged(branches: DataFrame, node: list[str]) -> DataFrame:
     grouped = grouped.withColumn("run", F.sum("starts").over(order)).drop("starts")
     safe = F.replace(F.replace(F.replace("literal", F.lit("%"), F.lit("%25")), F.lit("*"), F.lit("%2A")), F.lit("|"), F.lit("%7C"))
     whole = Window.partitionBy(*node, "weak", "run")
-    names = F.sort_array(F.collect_list(F.coalesce(safe, F.lit("*"))).over(whole))
+    grouped = grouped.withColumn("name", F.coalesce(safe, F.lit("*")))
+    # Runs may have any number of segments: windows spill, and the names collected are bounded.
+    place = F.row_number().over(whole.orderBy("name"))
+    grouped = grouped.withColumn("shown", F.when(place <= NAMED, F.col("name")))
+    more = F.count("*").over(whole) - NAMED
+    names = F.array_join(F.sort_array(F.collect_list("shown").over(whole)), "|")
     sums = grouped.select(
-        *node, "literal", "parent", F.array_join(names, "|").alias("branch"),
+        *node, "literal", "parent", F.when(more > 0, F.concat(names, F.lit("|%+"), more)).otherwise(names).alias("branch"),
         F.sum("labelled").over(whole).alias("all_labelled"), F.sum("bads").over(whole).alias("all_bads"),
     )
     return sums.select(
