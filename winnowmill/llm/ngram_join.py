@@ -17,6 +17,8 @@ from .near import shingle_hashes
 
 COUNTERS = 1 << 20  # counters of shingles, whatever the size of the corpus; they decide an order only
 BLOCK = 512  # rows of a tile that meet as many others in one group
+NEVER = np.iinfo(np.int64).max  # fills the lists of rows with fewer tiles
+LEAST = 8  # of its tiles, a row carries the first ones, so that a pair is compared in one tile only
 
 
 def _sets(rows: DataFrame, words: int, schema: str, body) -> DataFrame:
@@ -115,18 +117,17 @@ def bands(percent: int, largest: int) -> list[int]:
 
 
 def _full_sets(nodes: DataFrame, sets: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """``(node, hashes)``: the sorted shingles of the named sets, from texts that have them, which are read again."""
-    wanted = stored(nodes.select("node").distinct().join(sets.select("node", "low_id"), "node"), "ngram-wanted")
-    ids = wanted.where("low_id IS NOT NULL").select(F.col("low_id").alias("__wanted")).distinct()
+    """``(node, hashes)``: the sorted shingles of the named sets, and of few others, from texts that are read again."""
+    wanted = nodes.select("node").distinct().join(sets.select("node", "low_id"), "node")
+    ids = stored(wanted.where("low_id IS NOT NULL").select("low_id").distinct(), "ngram-wanted")
     known = likely_in(rows.where(F.col("id").isNotNull()), F.col("id"), ids)
-    known = known.join(ids, F.col("id") == F.col("__wanted"), "left_semi")
 
     def body(ids: pa.Array, found: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([ids, _digests(found), _lists(found)], names=["id", "digest", "hashes"])
 
     texts = known.unionByName(rows.where(F.col("id").isNull()))
     full = _sets(texts, words, "id bigint, digest binary, hashes array<bigint>", body).where("digest IS NOT NULL")
-    full = full.select(F.xxhash64("digest").alias("node"), "hashes").join(wanted.select("node"), "node", "left_semi")
+    full = full.select(F.xxhash64("digest").alias("node"), "hashes")
     return full.groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
@@ -185,13 +186,25 @@ class _Bitmaps:
         return out
 
 
+def _first_meeting(own: np.ndarray, others: np.ndarray, tile: int) -> np.ndarray:
+    """Whether ``tile`` may be the first one that a row has in common with each of the others.
+
+    A common tile up to the last of both lists is in both. Where there is none up to there, it is not known
+    which of the later ones is first, and every one of them may be.
+    """
+    common = np.where(np.isin(others, own), others, NEVER).min(axis=1)
+    known = common <= np.minimum(others[:, -1], own[-1])
+    return np.where(known & (common != NEVER), common == tile, True)
+
+
 def _candidates(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each minor row of each group, the others that sizes and bitmaps do not rule out.
 
     Shingles that make the bitmaps differ are in one set only, so sets of n and m whose bitmaps differ in
     d bits share at most (n + m - d) / 2. Rows of a group are ordered by ``minor``.
     """
-    get = {c: rows.column(c).to_numpy() for c in ("place", "minor", "node", "part", "major", "n")}
+    get = {c: rows.column(c).to_numpy() for c in ("place", "minor", "node", "part", "major", "n", "tile")}
+    least = np.stack([rows.column(f"t{i}").to_numpy() for i in range(LEAST)], axis=1)
     maps, starts = _Bitmaps(rows), np.searchsorted(get["place"], get["place"])
     others = np.cumsum(~get["minor"])  # others of a group stand before its minor rows
     ends = others - np.where(starts > 0, others[starts - 1], 0) + starts
@@ -204,6 +217,8 @@ def _candidates(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]
         if len(q):
             total = n[fits] + get["n"][p]
             q = q[(total - maps.differing(p, q)) * (100 + percent) >= 2 * percent * total]
+        if len(q):
+            q = q[_first_meeting(least[p], least[q], get["tile"][p])]
         if len(q):
             yield int(p), q
 
@@ -249,12 +264,11 @@ def _confirmed(percent: int):
 
 
 def _met(dealt: DataFrame, sets: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links of rows ``(place, node, minor, part, major)``: bitmaps first, full sets for what they leave."""
+    """Links of rows ``(place, tile, node, minor, part, major, t0, ...)``: bitmaps first, full sets for what they leave."""
     order = lambda df: df.repartition("place").sortWithinPartitions("place", "minor")
     placed = order(dealt.join(sets.select("node", "n", "bitmap"), "node"))
     waiting = stored(placed.mapInArrow(_open_rows(percent), placed.schema), "ngram-open")
-    full = stored(_full_sets(waiting, sets, rows, words), "ngram-full")
-    found = order(waiting.join(full, "node"))
+    found = order(waiting.join(_full_sets(waiting, sets, rows, words), "node"))
     return stored(found.mapInArrow(_confirmed(percent), "a bigint, b bigint").distinct(), "ngram-links")
 
 
@@ -282,7 +296,8 @@ def _with_leaders(members: DataFrame) -> DataFrame:
     others = led.join(counts, "leader").select(place(own), "node", F.lit(False).alias("minor"))
     steps = counts.select("leader", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("i"))
     leaders = steps.select(place(F.col("i")), F.col("leader").alias("node"), F.lit(True).alias("minor"))
-    return others.unionByName(leaders).withColumn("part", F.col("node")).withColumn("major", F.lit(0).cast("bigint"))
+    zero, never = F.lit(0).cast("bigint"), {f"t{i}": F.lit(int(NEVER)) for i in range(LEAST)}  # each pair is there once
+    return others.unionByName(leaders).withColumns({"part": F.col("node"), "major": zero, "tile": zero} | never)
 
 
 def _across(members: DataFrame, linked: DataFrame) -> DataFrame:
@@ -297,12 +312,17 @@ def _across(members: DataFrame, linked: DataFrame) -> DataFrame:
         F.max_by("part", F.struct("rows", "part")).alias("major"), F.sum("rows").alias("all_rows"), F.max("rows").alias("most")
     )
     placed = stored(placed.join(mixed.where("all_rows > most"), "tile"), "ngram-mixed")
+    least = placed.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("tile")), 1, LEAST).alias("least"))
+    never = lambda i: F.coalesce(F.get("least", F.lit(i)), F.lit(int(NEVER)))
+    least = least.select(F.col("node").alias("__of"), *[never(i).alias(f"t{i}") for i in range(LEAST)])
+    placed = placed.join(least, F.col("node") == F.col("__of"))
     blocks, minors = F.ceil(F.col("all_rows") / BLOCK), F.ceil((F.col("all_rows") - F.col("most")) / BLOCK)
     own, steps = F.xxhash64("node"), lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
     one = placed.withColumn("minor", F.lit(False)).withColumn("i", F.pmod(own, blocks)).withColumn("j", steps(minors))
     two = placed.where("part <> major").withColumn("minor", F.lit(True))
     two = two.withColumn("j", F.pmod(own, minors)).withColumn("i", steps(blocks))
-    return one.unionByName(two).select(F.xxhash64("tile", "i", "j").alias("place"), "node", "minor", "part", "major")
+    place, first = F.xxhash64("tile", "i", "j").alias("place"), [f"t{i}" for i in range(LEAST)]
+    return one.unionByName(two).select(place, "tile", "node", "minor", "part", "major", *first)
 
 
 def jaccard_components(
