@@ -20,11 +20,11 @@ grams AS (
 words AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
 candidates AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
 cuts AS (
-  SELECT c.lang, c.p, c.k, a, c.w, at, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
-  FROM candidates c, LATERAL (SELECT unnest(range(1, c.k)) AS at) s
-  JOIN grams x ON x.lang = c.lang AND x.p = array_to_string(c.w[1 : at], ' ')
-  JOIN grams y ON y.lang = c.lang AND y.p = array_to_string(c.w[at + 1 :], ' ')),
-lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, at) = 1),
+  SELECT c.lang, c.p, c.k, a, c.w, pos, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM candidates c, LATERAL (SELECT unnest(range(1, c.k)) AS pos) s
+  JOIN grams x ON x.lang = c.lang AND x.p = array_to_string(c.w[1 : pos], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.p = array_to_string(c.w[pos + 1 :], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, pos) = 1),
 around AS (
   SELECT lang, p, max(a) AS a FROM (
     SELECT lang, array_to_string(w[1:2], ' ') AS p, a FROM candidates WHERE k = 3
