@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans import block_join
 from ..plans.components import connected_components
-from ..plans.lineage import durable
+from ..plans.lineage import durable, written
 from ..plans.skew import attach_group_values
 
 SHINGLE_WORDS = 5
 MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier, the golden ratio in 64 bits
+COUNTERS = 1 << 20  # counters of shingles, at any size of the table; they decide an order only
 
 
 def normalized_text(col: Column | str) -> Column:
@@ -52,105 +54,145 @@ def exact_duplicates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _word_hashes(df: DataFrame, text_col: str, *columns: Column | str) -> DataFrame:
-    """The given columns, the normalized text and the hash of each of its words (null for no words)."""
-    normalized = df.select(*columns, normalized_text(text_col).alias("__text"))
-    # The words are a column of their own: an expression inside a lambda is evaluated per element.
-    split = normalized.select("*", F.when(F.col("__text") != "", F.split("__text", " ")).alias("__words"))
-    hashed = F.transform("__words", lambda w: F.xxhash64(w))
-    return split.select(*normalized.columns, hashed.alias("__word_hashes"))
-
-
-def _shingles(word_hashes: np.ndarray, words: int) -> np.ndarray:
-    """Hashes of all runs of ``words`` words; a shorter text is one run. Products wrap at 64 bits."""
-    h = word_hashes.astype(np.int64).view(np.uint64)
-    width = min(words, len(h))
-    runs = np.full(len(h) - width + 1, width, dtype=np.uint64)
-    for j in range(width):
-        runs = runs * MIX + h[j : len(h) - width + 1 + j]
-    return (runs ^ (runs >> np.uint64(32))) * MIX
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions ``start .. start + count - 1`` of all ranges, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - starts, counts)
 
 
-def _per_text(function, hashes: Column) -> Column:
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for values in batches:
-            yield pd.Series([None if v is None else function(v) for v in values])
+def _shingles(word_hashes: np.ndarray, ends: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of all runs of ``words`` words of many texts, sorted in each text, and where each text ends.
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, returnType="array<bigint>")(hashes)
+    A shorter text is one run. Products wrap at 64 bits.
+    """
+    starts, length = np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0)
+    texts, hashes = [], []
+    for width in range(1, words + 1):
+        of = np.flatnonzero(length >= words if width == words else length == width)
+        at, runs = _ranges(starts[of], length[of] - width + 1), np.uint64(width)
+        for j in range(width):
+            runs = runs * MIX + word_hashes[at + j]
+        texts.append(np.repeat(of, length[of] - width + 1))
+        hashes.append((runs ^ (runs >> np.uint64(32))) * MIX)
+    text, flat = np.concatenate(texts), np.concatenate(hashes)
+    by = np.lexsort((flat, text))
+    text, flat = text[by], flat[by]
+    new = np.ones(len(flat), bool)
+    new[1:] = (text[1:] != text[:-1]) | (flat[1:] != flat[:-1])
+    return flat[new], np.cumsum(np.bincount(text[new], minlength=len(ends)))
+
+
+def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All elements of a list column, and where each list ends; null is an empty list."""
+    lists = column.fill_null([])
+    return lists.flatten().to_numpy().view(np.uint64), np.cumsum(lists.value_lengths().to_numpy().astype(np.int64))
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(id, hashes)``: distinct hashes of the word shingles; null for an empty text.
+    """``(id, digest, hashes)``: of the normalized text its MD5 and the distinct hashes of its word shingles.
 
-    There is no filter on the result here: pushed below the projection it would compute the sets twice.
+    The digest is null for null, the set is empty for null and for an empty text.
     """
-    rows = _word_hashes(df, text_col, F.col(id_col).cast("bigint").alias("id"))
-    sets = _per_text(lambda v: np.unique(_shingles(v, words)).view(np.int64), F.col("__word_hashes"))
-    return rows.select("id", sets.alias("hashes"))
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = _lists(*_shingles(*_flat(batch.column(2)), words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sets], names=["id", "digest", "hashes"])
 
-def _alike(a: Column, b: Column, percent: int) -> Column:
-    """Whether two sets reach the similarity, in whole numbers."""
-    shared = F.size(F.array_intersect(a, b))
-    return shared * 100 >= (F.size(a) + F.size(b) - shared) * percent
+    normalized = df.select(F.col(id_col).cast("bigint").alias("id"), normalized_text(text_col).alias("text"))
+    # The words are a column of their own: an expression inside a lambda is evaluated per element.
+    split = normalized.select("id", "text", F.when(F.col("text") != "", F.split("text", " ")).alias("words"))
+    hashed = split.select("id", F.unhex(F.md5("text")).alias("digest"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    return hashed.mapInArrow(scan, "id bigint, digest binary, hashes array<bigint>")
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``(key, id, n)``: of each set of n shingles, the rarest n - ceil(percent * n) + 1 that others have too.
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall on each of COUNTERS counters: a table of a fixed size."""
 
-    Two sets that reach the similarity have a shingle in common among these. Shingles are ordered by
-    their number of sets, so those that only one set has come first, and they can join nothing: a set
-    that has enough of them, as most have, has no keys.
-    """
-    single = sets.select("id", F.size("hashes").alias("n"), F.explode("hashes").alias("key"))
-    counts = single.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
-    shared = single.join(counts, "key").groupBy("id", "n").agg(
-        F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("shared")
-    )
-    length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
-    needed = (length - (F.col("n") - F.size("shared"))).cast("int")
-    keys = F.slice(F.col("shared")["key"], F.lit(1), F.greatest(needed, F.lit(0)))
-    return shared.select("id", "n", F.explode(keys).alias("key"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            table += np.bincount((_flat(batch.column(0))[0] % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        used = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(table[used])], names=["at", "n"])
 
+    sums = sets.select("hashes").mapInArrow(count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(COUNTERS, np.int64)
+    table[sums.column("at").to_numpy()] = sums.column("n").to_numpy()
+    return table
 
-def _fits(n: str, m: str, percent: int) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
+def _prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """``(key, node)``: of each set of n shingles, the rarest n - ceil(percent * n / 100) + 1.
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs ``(a, b)``, those whose sets reach the similarity."""
-    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
-    return pairs.join(left, "a").join(right, "b").where(_alike(F.col("ha"), F.col("hb"), percent)).select("a", "b")
+    Two sets that reach the similarity have a shingle in common among these, as the order (counter, hash)
+    is the same for all; what ties with the last one is a key too. A shingle of many texts stands out from
+    the load of its counter, so that it is a key only where nearly all shingles of a text are frequent.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_counters(sets))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            flat, ends = _flat(batch.column(1))
+            n = np.diff(ends, prepend=0)
+            text = np.repeat(np.arange(len(n)), n)
+            load = np.minimum(table[(flat % np.uint64(len(table))).astype(np.int64)], (1 << 30) - 1).astype(np.uint64)
+            rank = (load << np.uint64(34)) | (flat >> np.uint64(30))
+            last = (ends - n + n - -(-n * percent // 100))[n > 0]  # in each sorted text, the place of the last key
+            bound = np.zeros(len(n), np.uint64)
+            bound[n > 0] = rank[np.lexsort((rank, text))][last]
+            kept = rank <= bound[text]
+            nodes = batch.column(0).to_numpy()[text[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[kept].view(np.int64)), pa.array(nodes)], names=["key", "node"])
+
+    keys = sets.select("node", "hashes").mapInArrow(scan, "key bigint, node bigint")
+    several = keys.groupBy("key").agg(F.count("*").alias("__n")).where("__n > 1").select(F.col("key").alias("__key"))
+    return written(keys.join(several, F.col("key") == F.col("__key")).drop("__key"), "near-keys")
+
+
+def _alike(percent: int):
+    """For rows with ``hashes``: whether one set and each of some others reach the similarity, in whole numbers."""
+
+    def test_of(rows: pa.Table):
+        flat, ends = _flat(rows.column("hashes").combine_chunks())
+        starts, size = np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0)
+
+        def test(p: int, q: np.ndarray) -> np.ndarray:
+            out = np.minimum(size[q], size[p]) * 100 >= np.maximum(size[q], size[p]) * percent
+            q = q[out]
+            if len(q):
+                own, others = flat[starts[p] : ends[p]], flat[_ranges(starts[q], size[q])]
+                hits = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+                sums = np.concatenate([[0], np.cumsum(hits)])[np.concatenate([[0], np.cumsum(size[q])])]
+                shared = np.diff(sums)
+                out[out] = shared * 100 >= (size[q] + size[p] - shared) * percent
+            return out
+
+        return test
+
+    return test_of
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` with the same components as all pairs that reach the similarity.
+    """Links ``(a, b)`` with the same components as all pairs of ``(node, hashes)`` that reach the similarity.
 
     The sets that share a key are first compared with the smallest of them. Then, where they are still
     in several components, those outside the largest one are compared with all others of other
-    components. Pairs inside a component are never listed, none across components is left out.
+    components, block by block inside tasks. Pairs inside a component are never formed, none across
+    components is left out.
     """
-    keys = durable(_prefixes(sets, percent))
-    lead = keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("rows"))
-    led = attach_group_values(keys, lead, "key", "rows", "id", how="inner")
-    led = led.where("id <> lead.id").where(_fits("n", "lead.n", percent))
-    first = led.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
-    linked = durable(_confirmed(first, sets, percent))
-
-    parts = connected_components(linked, "a", "b").select(F.col("node").alias("id"), "component")
-    placed = keys.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
-    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("rows"))
-    mixed = sizes.groupBy("key").agg(F.max_by("part", "rows").alias("major"), F.count("*").alias("parts"))
-    placed = durable(placed.join(mixed.where("parts > 1"), "key").drop("parts"))
-    minor = placed.where("part <> major").select(
-        "key", F.col("id").alias("p"), F.col("n").alias("np"), F.col("part").alias("pp")
-    )
-    others = placed.select("key", F.col("id").alias("q"), F.col("n").alias("nq"), F.col("part").alias("pq"), "major")
-    met = minor.join(others, "key").where("pp <> pq AND (pq = major OR p < q)").where(_fits("np", "nq", percent))
-    pairs = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    return linked.union(durable(_confirmed(pairs, sets, percent)))
+    members, test = _prefix_keys(sets, percent), _alike(percent)
+    led = written(block_join.links(block_join.beside_leaders(members), sets, test), "near-links")
+    parts = written(connected_components(led, "a", "b"), "near-parts")
+    rest = written(block_join.links(block_join.across_parts(members, parts), sets, test), "near-links")
+    known = parts.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return known.union(rest)
 
 
 def near_duplicates(
@@ -160,18 +202,19 @@ def near_duplicates(
 
     Alike means a Jaccard similarity of the word shingles of at least ``threshold``, taken in whole
     percent. Clusters are the connected components of all alike pairs, named by their smallest id; no
-    pair is missed. Ids are whole numbers.
+    pair is missed. Ids are whole numbers. Rows without text are in no cluster, empty texts are copies
+    of one another.
 
-    Equal texts are folded, and a prefix-filtered set join finds the pairs of the rest: see
-    ``_prefixes`` and ``_links``.
+    Texts are read once. Equal ones are folded, and a prefix-filtered set join finds the pairs of the
+    rest: see ``_prefix_keys`` and ``_links``.
     """
     percent = round(threshold * 100)
-    digests = durable(df.select(F.col(id_col), F.md5(normalized_text(text_col)).alias("__digest")))
-    exact = durable(_with_exact_clusters(digests, id_col).drop("__digest"))
-    copies = exact.where(F.col("__first") != F.col(id_col)).select(id_col)
-    singles = df.join(copies, id_col, "left_anti")
-    sets = durable(shingle_sets(singles, id_col, text_col, words))
-    edges = _links(sets.where(F.size("hashes") > 0), percent)
+    scanned = written(shingle_sets(df.select(id_col, text_col), id_col, text_col, words), "near-sets")
+    digests = scanned.select(F.col("id").alias(id_col), F.col("digest").alias("__digest"))
+    exact = written(_with_exact_clusters(digests, id_col).drop("__digest"), "near-exact")
+    copies = exact.where(F.col("__first") != F.col(id_col)).select(F.col(id_col).alias("id"))
+    sets = scanned.where((F.size("hashes") > 0) & F.col("id").isNotNull()).join(copies, "id", "left_anti").select(F.col("id").alias("node"), "hashes")
+    edges = _links(written(sets, "near-singles"), percent)
     clusters = connected_components(edges, "a", "b").select(
         F.col("node").alias("__node"), F.col("component").alias("__cluster")
     )
