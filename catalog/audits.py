@@ -172,3 +172,41 @@ def full_audit(spark, sf):
         "is_well_labeled",
         "is_near_duplicate",
     )
+
+
+# As above with every three vectors a class of their own, so that there are a third as many classes as rows.
+MANY = f"""
+{NEIGHBORS.replace("label, list_transform", "vec_id // 3 AS label, list_transform")},
+votes AS (SELECT vec_id, neighbor_label AS c, count(*) AS n FROM nb GROUP BY ALL),
+classes AS (SELECT DISTINCT label AS c FROM e),
+probs AS (
+  SELECT g.vec_id, g.label, g.c, coalesce(n, 0) / {K}.0::DOUBLE AS p
+  FROM (SELECT vec_id, label, c FROM e, classes) g LEFT JOIN votes v ON v.vec_id = g.vec_id AND v.c = g.c),
+limits AS (SELECT label AS c, round(avg(p), 9) AS t FROM probs WHERE c = label GROUP BY label),
+confident AS (
+  SELECT vec_id, arg_max(c, p * 1000000 - c) AS confident_label FROM probs JOIN limits USING (c) WHERE round(p, 9) >= t GROUP BY vec_id),
+best AS (SELECT vec_id, list(c ORDER BY p DESC, c)[1:3] AS top_labels, list(round(p, 6) ORDER BY p DESC, c)[1:3] AS top_probs,
+         -sum(CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END) / ln((SELECT count(*) FROM classes)) AS entropy FROM probs GROUP BY vec_id)
+"""
+
+
+@query(f"""
+WITH {MANY}
+SELECT own.vec_id, own.label, round(own.p, 6) AS label_quality, confident_label <> own.label AS is_label_issue,
+       top_labels, top_probs, round(entropy, 6) AS ambiguous_score, confident_label = own.label AND round(own.p, 9) >= t AS is_well_labeled
+FROM (SELECT vec_id, label, p FROM probs WHERE c = label) own
+JOIN best USING (vec_id) JOIN confident USING (vec_id) JOIN limits ON limits.c = own.label
+""")
+def audit_many_classes(spark, sf):
+    rows = table(spark, sf, "embeddings").withColumn("label", F.floor(F.col("vec_id") / 3))
+    out = audit.audit(rows, "vec_id", "label", "embedding", k=K)
+    return out.select(
+        "vec_id",
+        "label",
+        rounded("label_quality").alias("label_quality"),
+        "is_label_issue",
+        "top_labels",
+        rounded_array("top_probs").alias("top_probs"),
+        rounded("ambiguous_score").alias("ambiguous_score"),
+        "is_well_labeled",
+    )

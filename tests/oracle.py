@@ -27,6 +27,7 @@ _TYPES = {
     "boolean": "BOOLEAN",
     "array<string>": "VARCHAR[]",
     "array<double>": "DOUBLE[]",
+    "array<bigint>": "BIGINT[]",
     "timestamp_ntz": "TIMESTAMP",
 }
 

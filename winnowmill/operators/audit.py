@@ -1,8 +1,9 @@
 """Audit columns of a labeled dataset, from class probabilities, embeddings and texts.
 
 Label issues follow confident learning (JAIR, volume 70, 2021); outliers the mean distance to the
-nearest neighbours. All row-level work is expressions over one probability
-array; per-class figures are aggregates that enter as scalar subqueries of class-list size.
+nearest neighbours. All row-level work is expressions over one array per row. Full probability arrays of
+a model come with a class list, and per-class figures enter as scalar subqueries of its size. Shares of
+the classes seen among neighbours know no list: per-class figures are a table, joined where they are needed.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from ..functions.probabilities import (
     predicted_label,
     ranked_classes,
 )
+from ..functions.shares import ranked_shares, share_of_label, shares_entropy
 from ..functions.typing import is_missing
 from ..plans.lineage import durable
+from ..plans.skew import attach_group_values
 from .near_duplicates import exact_duplicates, near_duplicates
-from .neighbors import knn_pred_probs, label_classes, nearest_neighbors, outlier_scores
+from .neighbors import knn_class_shares, label_classes, nearest_neighbors, outlier_scores
 
 AMBIGUOUS_ABOVE = 0.9
 OUTLIER_QUANTILE = 0.95
@@ -101,6 +104,66 @@ def confident_joint(df: DataFrame, probs: str, label: str, classes: Sequence) ->
     )
 
 
+def share_thresholds(df: DataFrame, shares: str, label: str) -> DataFrame:
+    """``(label, threshold, n)``: mean share of a class over the ``n`` rows that carry it."""
+    rows = df.select(F.col(label).alias("label"), share_of_label(shares, label).alias("p")).where(F.col("p").isNotNull())
+    return rows.groupBy("label").agg(F.round(F.avg("p"), DIGITS).alias("threshold"), F.count("*").alias("n"))
+
+
+def confident_by_shares(df: DataFrame, id_col: str, shares: str, limits: DataFrame) -> DataFrame:
+    """``(id, confident_label)``: of the classes at or above their threshold the one with the largest share.
+
+    Only rows that have one; the first in class order among equals. Rows of a frequent class are not put
+    into one task.
+    """
+    entries = df.select(F.col(id_col).alias("id"), F.explode(shares).alias("e")).select("id", "e.p", "e.label")
+    met = attach_group_values(entries, limits, "label", "n", "id", how="inner")
+    kept = met.where(F.round("p", DIGITS) >= F.col("threshold"))
+    best = kept.groupBy("id").agg(F.min(F.struct((-F.col("p")).alias("low"), "label"))["label"].alias("confident_label"))
+    return best.withColumnRenamed("id", id_col)
+
+
+def shares_audit(
+    df: DataFrame, id_col: str, shares: str, label: str, top: int = 3, ambiguous_above: float = AMBIGUOUS_ABOVE
+) -> DataFrame:
+    """Like ``label_audit``, from shares of the classes seen, for any number of classes.
+
+    The classes are the labels of ``df``. ``df`` is read several times, so keep it. A class whose rows have no
+    share of it has threshold 0; it is the confident one of rows in which no class seen reaches its own.
+    """
+    limits = durable(share_thresholds(df, shares, label))
+    found = limits.agg(F.min(F.when(F.col("threshold") == 0, F.col("label")))).scalar()
+    classes = df.where(F.col(label).isNotNull()).select(F.col(label).alias("c")).distinct()
+    number = classes.agg(F.count("*")).scalar()
+    longest = df.agg(F.max(F.size(shares))).first()[0] or 0
+    unseen = classes.orderBy("c").limit(max(longest, 0) + top).agg(F.sort_array(F.collect_list("c"))).scalar()
+    own = share_of_label(shares, label)
+    best = F.try_element_at("__top", F.lit(1))
+    out = df.join(confident_by_shares(df, id_col, shares, limits), id_col, "left")
+    out = out.withColumn("confident_label", F.coalesce("confident_label", F.when(F.col(shares).isNotNull(), found)))
+    out = attach_group_values(out, limits.withColumnRenamed("label", label), label, "n", id_col)
+    # Scalars are columns of their own: a subquery must not stand in a lambda.
+    out = out.withColumn("__unseen", unseen).withColumn("__classes", number)
+    out = out.withColumns({"p_given_label": own, "label_quality": own, "label_issue_score": 1 - own})
+    out = out.withColumn("__top", ranked_shares(shares, F.col("__unseen"), top)).withColumn("predicted_label", best["label"])
+    out = out.withColumn("is_label_issue", F.coalesce(F.col("confident_label") != F.col(label), F.lit(False)))
+    suggested = F.col("is_label_issue") & F.col("predicted_label").isNotNull()
+    entropy = shares_entropy(shares, F.col("__classes"))
+    above = F.round(F.col("label_quality"), DIGITS) >= F.col("threshold")
+    return out.withColumns(
+        {
+            "suggested_label": F.when(suggested, F.col("predicted_label")),
+            "p_suggested_label": F.when(suggested, best["p"]),
+            "top_labels": F.transform("__top", lambda b: b["label"]),
+            "top_probs": F.transform("__top", lambda b: b["p"]),
+            "ambiguous_score": entropy,
+            "is_ambiguous": F.coalesce(entropy >= ambiguous_above, F.lit(False)),
+            "is_unlabeled": is_missing(df, label),
+            "is_well_labeled": F.coalesce(~F.col("is_label_issue") & above, F.lit(False)),
+        }
+    ).drop("__top", "__unseen", "__classes", "threshold", "n", "confident_label")
+
+
 def label_audit(
     df: DataFrame,
     probs: str,
@@ -169,13 +232,13 @@ def audit(
 ) -> DataFrame:
     """One row per row of ``df`` with all audit columns that its inputs allow.
 
-    ``pred_probs`` (id, ``pred_probs``) comes from a model; without it, probabilities are class
-    shares among the ``k`` nearest embeddings. Rows whose feature is missing are flagged and get no
+    ``pred_probs`` (id, ``pred_probs``) comes from a model, one probability per class of ``classes`` (by default
+    the labels, sorted); without it, probabilities are class shares among the ``k`` nearest embeddings, for
+    any number of classes. Rows whose feature is missing are flagged and get no
     scores. The neighbour table is computed once and kept in the checkpoint folder.
     """
     feature = vector_col or text_col
     flag = not_analyzed(df, feature) if feature else F.lit(False)
-    classes = list(classes) if classes is not None else label_classes(df, label)
     base = df.select(id_col, F.col(label), flag.alias("is_not_analyzed"))
     out = base
     neighbors = None
@@ -183,8 +246,11 @@ def audit(
         known = df.where(~flag)
         neighbors = durable(nearest_neighbors(known, id_col, vector_col, k, label, method))
     if pred_probs is None and neighbors is not None:
-        pred_probs = knn_pred_probs(neighbors, id_col, classes)
+        out = out.join(knn_class_shares(neighbors, id_col), id_col, "left")
+        out = out.withColumn("class_shares", F.when(~F.col("is_not_analyzed"), F.col("class_shares")))
+        out = shares_audit(durable(out), id_col, "class_shares", label, top, ambiguous_above).drop("class_shares")
     if pred_probs is not None:
+        classes = list(classes) if classes is not None else label_classes(df, label)
         out = out.join(pred_probs.select(id_col, "pred_probs"), id_col, "left")
         out = out.withColumn("pred_probs", F.when(~F.col("is_not_analyzed"), F.col("pred_probs")))
         # Read three times below: for the class means, the thresholds and the rows themselves.

@@ -7,17 +7,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInput
-from ..plans.lineage import durable
+from ..plans.lineage import written
 from ..plans.positions import with_row_position
 
-# A block of vectors and one block-by-block similarity matrix fit easily into a Python worker.
+# Two blocks of vectors and the matrix of their similarities fit easily into a Python worker.
 BLOCK_ROWS = 2048
+# Vectors of a cell, as long as there are no more than MAX_PIVOTS cells; pivots travel to every task.
+CELL_ROWS = 1024
+MAX_PIVOTS = 1024
 # Similarities are compared after rounding, so that equal pairs tie whatever the order of summation.
 SIMILARITY_DIGITS = 9
+# Cells are skipped only beyond this many radians: rounded similarities near 1 are that far apart.
+SLACK = 1e-4
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -37,81 +43,131 @@ def _best(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, k: int) -> tupl
     return rows[keep], columns[keep]
 
 
-def _compare_blocks(k: int):
-    def run(pair: pd.DataFrame) -> pd.DataFrame:
-        first = pair["block"] == pair["block"].min()
-        left, right = pair[first], pair[~first]
-        passes = [(left, left)] if pair["low"].iloc[0] == pair["high"].iloc[0] else [(left, right), (right, left)]
-        parts = []
-        for rows, others in passes:
-            if len(rows) and len(others):
-                sims = np.round(_unit(rows["vec"]) @ _unit(others["vec"]).T, SIMILARITY_DIGITS)
-                i, j = _best(rows["id"].to_numpy(), others["id"].to_numpy(), sims, k)
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "id": rows["id"].to_numpy()[i],
-                            "neighbor_id": others["id"].to_numpy()[j],
-                            "similarity": sims[i, j],
-                            "neighbor_label": others["label"].to_numpy()[j],
-                        }
-                    )
-                )
-        if not parts:
-            return pd.DataFrame(columns=["id", "neighbor_id", "similarity", "neighbor_label"])
-        return pd.concat(parts, ignore_index=True)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors as rows; all have the length of the first."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
-    return run
 
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(norms == 0, 1.0, norms)
 
-def _block_neighbors(vectors: DataFrame, bucket_blocks: DataFrame | int, k: int) -> DataFrame:
-    """Local top k of every pair of blocks within a bucket.
 
-    Vectors of a bucket are spread over its blocks by a hash of their id. Each unordered pair of
-    blocks is one group, compared once for both directions; a group holds two blocks, however large
-    the bucket, and gives back k rows per vector instead of all pairs.
-    """
-    if isinstance(bucket_blocks, int):
-        sized = vectors.withColumn("bucket", F.lit(0).cast("bigint")).withColumn("blocks", F.lit(bucket_blocks))
-    else:
-        sized = vectors.join(bucket_blocks, "bucket")
-    blocked = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    side = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = side.select(
-        "bucket",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        "block",
-        "id",
-        "vec",
-        "label",
-    )
-    label_type = dict(vectors.dtypes)["label"]
-    schema = f"id bigint, neighbor_id bigint, similarity double, neighbor_label {label_type}"
-    return keyed.groupBy("bucket", "low", "high").applyInPandas(_compare_blocks(k), schema)
+def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
 
 
-def _against_all(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """Local top k of the query rows among all vectors, block against block."""
-    sides = []
-    counts = [max(1, math.ceil(t.count() / block_rows)) for t in (queries, vectors)]
-    for rows, own, other, name in ((queries, 0, 1, "i"), (vectors, 1, 0, "j")):
-        block = F.pmod(F.xxhash64("id"), F.lit(counts[own])).cast("int").alias(name)
-        meets = F.explode(F.sequence(F.lit(0), F.lit(counts[other] - 1))).alias("j" if name == "i" else "i")
-        sides.append(rows.select("id", "vec", "label", block, meets, F.lit(own == 0).alias("query")))
+def _visited(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Local top k of queries ``(id, vec, bound, cell)`` among the vectors ``(id, vec, label, cell)`` of their cells.
+
+    Each cell's queries and vectors are dealt in blocks; two blocks meet in a group, however large the
+    cell. Only neighbours that are no worse than the query's bound, if it has one, leave the task.
+    """
+    sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("i_blocks")).join(
+        vectors.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("j_blocks")), "cell"
+    )
+    steps = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    sized = lambda df: df.join(F.broadcast(sizes), "cell")
+    asking = sized(queries).select("cell", block("i_blocks").alias("i"), steps("j_blocks").alias("j"), F.lit(True).alias("query"),
+                                   "id", "vec", "bound", F.lit(None).cast(vectors.schema["label"].dataType).alias("label"))
+    asked = sized(vectors).select("cell", steps("i_blocks").alias("i"), block("j_blocks").alias("j"), F.lit(False).alias("query"),
+                                  "id", "vec", F.lit(None).cast("double").alias("bound"), "label")
 
     def run(pair: pd.DataFrame) -> pd.DataFrame:
         rows, others = pair[pair["query"]], pair[~pair["query"]]
         if not len(rows) or not len(others):
             return pd.DataFrame(columns=["id", "neighbor_id", "similarity", "neighbor_label"])
         sims = np.round(_unit(rows["vec"]) @ _unit(others["vec"]).T, SIMILARITY_DIGITS)
+        bounds = rows["bound"].to_numpy()[:, None]
+        sims = np.where(sims < bounds, -np.inf, sims)  # no bound is NaN, which nothing is below
         ids, other_ids = rows["id"].to_numpy(), others["id"].to_numpy()
         i, j = _best(ids, other_ids, sims, k)
         found = {"id": ids[i], "neighbor_id": other_ids[j], "similarity": sims[i, j]}
         return pd.DataFrame(found | {"neighbor_label": others["label"].to_numpy()[j]})
 
     schema = f"id bigint, neighbor_id bigint, similarity double, neighbor_label {dict(vectors.dtypes)['label']}"
-    return sides[0].unionByName(sides[1]).groupBy("i", "j").applyInPandas(run, schema)
+    return asking.unionByName(asked).groupBy("cell", "i", "j").applyInPandas(run, schema)
+
+
+def _in_cells(vectors: DataFrame, total: int, cell_rows: int) -> tuple[DataFrame, np.ndarray]:
+    """``vectors`` plus ``cell`` and ``angle``: the nearest of the pivots and the angle to it; and the pivots.
+
+    Pivots are vectors with the smallest hashes of their ids. Vectors of length zero, to which no angle can
+    be measured, have a cell of their own.
+    """
+    wanted = min(MAX_PIVOTS, max(1, math.ceil(total / cell_rows)))
+    chosen = vectors.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(wanted).select("vec").toArrow()
+    pivots = _scaled(_matrix(chosen.column("vec").combine_chunks()))
+    shared = vectors.sparkSession.sparkContext.broadcast(pivots)
+    names = vectors.columns
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                matrix = _matrix(batch.column(names.index("vec")))
+                angles = _angles(_scaled(matrix), shared.value)
+                cell = np.where(matrix.any(axis=1), angles.argmin(axis=1), len(shared.value)).astype(np.int32)
+                columns = [*batch.columns, pa.array(cell), pa.array(angles.min(axis=1))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "cell", "angle"])
+
+    kinds = ", ".join(f"{n} {t}" for n, t in vectors.dtypes)
+    return written(vectors.mapInArrow(place, f"{kinds}, cell int, angle double"), "neighbor-cells"), pivots
+
+
+def cells_to_visit(queries: DataFrame, cells: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``(id, cell)``: the other cells that may hold a neighbour no worse than the query's bound.
+
+    ``queries`` has ``(id, vec, cell, bound)``, the bound being a similarity or null. By the triangle
+    inequality of angles no vector of a cell is nearer than the angle to its pivot less the cell's radius.
+    """
+    radii = np.full(len(pivots) + 1, -np.inf)  # an empty cell is nowhere near
+    for row in cells.groupBy("cell").agg(F.max("angle").alias("radius")).collect():
+        radii[row["cell"]] = row["radius"] if row["cell"] < len(pivots) else np.inf
+    shared = queries.sparkSession.sparkContext.broadcast((pivots, radii))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, radii = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                vectors, own = _matrix(batch.column(1)), batch.column(2).to_numpy()
+                least = np.full((len(vectors), len(radii)), -np.inf)
+                least[:, : len(pivots)] = _angles(_scaled(vectors), pivots) - radii[: len(pivots)]
+                bound = batch.column(3).fill_null(-1.0).to_numpy()
+                limit = np.arccos(np.clip(np.where(vectors.any(axis=1), bound, -1.0), -1.0, 1.0)) + SLACK
+                near = (least <= limit[:, None]) & (radii != -np.inf)
+                near[np.arange(len(own)), own] = False
+                i, cell = np.nonzero(near)
+                ids = batch.column(0).take(pa.array(i))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(cell.astype(np.int32))], names=["id", "cell"])
+
+    return queries.select("id", "vec", "cell", "bound").mapInArrow(reach, "id bigint, cell int")
+
+
+def _exact(queries: DataFrame | None, vectors: DataFrame, total: int, k: int, block_rows: int, cell_rows: int) -> DataFrame:
+    """Top k, and some more, of the vectors with the ids of ``queries`` (all if None) among all vectors.
+
+    A query's own cell gives a bound, the similarity of its k-th best there; then it visits the cells that the
+    bound does not rule out.
+    """
+    placed, pivots = _in_cells(vectors, total, cell_rows)
+    asking = placed if queries is None else placed.join(queries.select("id"), "id", "left_semi")
+    asking = asking.select("id", "vec", "cell")
+    own = _visited(asking.withColumn("bound", F.lit(None).cast("double")), placed, k, block_rows)
+    best = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
+    own = written(own.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "neighbor-own")
+    bounds = own.where(F.col("rank") == k).select("id", F.col("similarity").alias("bound"))
+    bounded = written(asking.join(bounds, "id", "left"), "neighbor-bounds")
+    visits = written(cells_to_visit(bounded, placed, pivots), "neighbor-visits")
+    others = _visited(visits.join(bounded.drop("cell"), "id"), placed, k, block_rows)
+    return own.drop("rank").unionByName(others)
+
+
+def _bucket_neighbors(vectors: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Local top k of vectors ``(id, vec, label, bucket)`` within their buckets, block by block."""
+    rows = vectors.withColumnRenamed("bucket", "cell")
+    return _visited(rows.select("id", "vec", "cell", F.lit(None).cast("double").alias("bound")), rows, k, block_rows)
 
 
 def _hash_buckets(vectors: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
@@ -143,16 +199,19 @@ def nearest_neighbors(
     method: str = "exact",
     block_rows: int = BLOCK_ROWS,
     tables: int = 12,
-    bits: int = 8,
+    bits: int | None = None,
     seed: int = 7,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``(id, neighbor_id, similarity, rank, neighbor_label)``: the k most similar other vectors.
 
-    Ties go to the smaller neighbour id. The caller names the method, at every size the same: ``exact``
-    compares all vectors, block against block. ``hashed`` compares vectors that share one of 2^``bits``
-    random-hyperplane buckets in one of ``tables`` tables and so may miss neighbours; buckets above the
-    block size are compared block by block like the exact search. Vectors that meet fewer than ``k``
-    others there, the isolated ones, are compared with all vectors, so no row is short of neighbours.
+    Ties go to the smaller neighbour id. A vector of zeros has similarity 0 to all. The caller names the
+    method, at every size the same. ``exact`` deals the vectors to cells around pivots and compares a vector
+    with those cells that the triangle inequality does not rule out; on data without clusters that may
+    be all. ``hashed`` compares vectors that share one of 2^``bits`` random-hyperplane buckets in one of
+    ``tables`` tables and so may miss neighbours; by default there are as many buckets as blocks. Vectors
+    that meet fewer than ``k`` others there, the isolated ones, are searched like ``exact``, so no row is short
+    of neighbours. Cells and buckets above the block size are compared block by block.
     """
     tag = F.lit(None).cast("string") if label is None else (F.col(label) if isinstance(label, str) else label)
     vectors = df.where(F.col(vector_col).isNotNull()).select(
@@ -162,15 +221,14 @@ def nearest_neighbors(
     )
     total = vectors.count()
     if method == "exact":
-        found = _block_neighbors(vectors, max(1, math.ceil(total / block_rows)), k)
+        found = _exact(None, vectors, total, k, block_rows, cell_rows)
     elif method == "hashed":
+        bits = max(1, math.ceil(math.log2(max(2, total / block_rows)))) if bits is None else bits
         bucketed = _hash_buckets(vectors, tables, bits, seed)
-        sizes = bucketed.groupBy("bucket").agg(F.count("*").alias("n"))
-        blocks = sizes.select("bucket", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
-        found = durable(_block_neighbors(bucketed, blocks, k).distinct())
+        found = written(_bucket_neighbors(bucketed, k, block_rows).distinct(), "neighbor-buckets")
         full = found.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, total - 1))
-        short = durable(vectors.join(full, "id", "left_anti"))
-        found = found.join(short, "id", "left_anti").unionByName(_against_all(short, vectors, k, block_rows))
+        short = written(vectors.select("id").join(full, "id", "left_anti"), "neighbor-short")
+        found = found.join(short, "id", "left_anti").unionByName(_exact(short, vectors, total, k, block_rows, cell_rows))
     else:
         raise InvalidInput("method must be 'exact' or 'hashed'")
     best = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
@@ -204,6 +262,19 @@ def outlier_scores(neighbors: DataFrame, id_col: str, quantile: float = 0.95) ->
     return placed.withColumn("is_outlier", F.coalesce(F.col("outlier_score") > limit, F.lit(False))).drop("__position")
 
 
+def knn_class_shares(neighbors: DataFrame, id_col: str) -> DataFrame:
+    """``class_shares``, an array of ``(p, label)`` over the classes seen among each row's neighbours, in class order.
+
+    Neighbours without label count among all but are of no class.
+    """
+    votes = neighbors.groupBy(id_col, F.col("neighbor_label").alias("label")).agg(F.count("*").alias("n"))
+    entry = F.struct("label", "n")
+    rows = votes.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("__e"), F.sum("n").alias("__n"))
+    seen = F.filter("__e", lambda e: e["label"].isNotNull())
+    share = lambda e: F.struct((e["n"] / F.col("__n")).alias("p"), e["label"].alias("label"))
+    return rows.select(id_col, F.transform(seen, share).alias("class_shares"))
+
+
 def label_classes(df: DataFrame, label: str, limit: int = 10_000) -> list:
     """Sorted distinct labels; an error beyond ``limit``, since class lists travel with every task."""
     rows = df.where(F.col(label).isNotNull()).select(label).distinct().limit(limit + 1).collect()
