@@ -88,28 +88,51 @@ def constrain_exact(spark, sf):
     )
 
 
-@query("""
-WITH r AS (
-  SELECT p_partkey, p_type, 1 - levenshtein(p_type, 'automobile part') / greatest(length(p_type), 15)::DOUBLE AS a,
-         1 - levenshtein(p_type, 'large economy item') / greatest(length(p_type), 18)::DOUBLE AS b,
-         1 - levenshtein(p_type, 'other') / greatest(length(p_type), 5)::DOUBLE AS c FROM part)
-SELECT p_partkey, CASE WHEN greatest(a, b, c) < 0.5 THEN 'other' WHEN a >= greatest(b, c) THEN 'automobile part'
-                       WHEN b >= c THEN 'large economy item' ELSE 'other' END AS choice
-FROM r
+def _matched(pairs: str) -> str:
+    """CTE ``matched (k, m)``: characters in matching blocks of the texts x and y of each k of ``pairs``."""
+    return f"""
+pairs AS ({pairs}),
+parts(k, x, y, m) AS (
+  SELECT k, x, y, 0::BIGINT FROM pairs
+  UNION ALL
+  SELECT k, CASE WHEN side = 0 THEN substr(x, 1, -best.i - 1) ELSE substr(x, best.n - best.i) END,
+         CASE WHEN side = 0 THEN substr(y, 1, -best.j - 1) ELSE substr(y, best.n - best.j) END,
+         CASE WHEN side = 0 THEN best.n ELSE 0 END
+  FROM (
+    SELECT k, x, y, list_max(flatten(list_transform(range(1, length(x) + 1), lambda i: list_transform(
+             list_filter(range(1, length(y) + 1), lambda j: substr(x, i, 1) = substr(y, j, 1)),
+             lambda j: {{'n': list_max(list_filter(range(1, least(length(x) - i, length(y) - j) + 2),
+                                                  lambda n: substr(x, i, n) = substr(y, j, n))), 'i': -i, 'j': -j}})))) AS best
+    FROM parts WHERE x <> '' AND y <> '') s, range(2) t(side)
+  WHERE best IS NOT NULL),
+matched AS (SELECT k, sum(m) AS m FROM parts GROUP BY k)"""
+
+
+FALLBACK = ["widgets, red", "small rings", "hot geer", "other"]
+
+
+# Each part name is rated once; no option is named in one.
+@query(f"""
+WITH RECURSIVE names AS (SELECT DISTINCT p_name FROM part),
+options AS (SELECT unnest({FALLBACK}) AS o, unnest([1, 2, 3, 4]) AS place),
+{_matched("SELECT p_name || '|' || o AS k, p_name AS x, o AS y FROM names, options")},
+rated AS (
+  SELECT p_name, o, place, 2.0::DOUBLE * m / (length(p_name) + length(o)) AS s
+  FROM names, options JOIN matched ON k = p_name || '|' || o),
+best AS (SELECT p_name, arg_max(o, s * 1000 - place / 1000.0) AS o, max(s) AS s FROM rated GROUP BY p_name)
+SELECT p_partkey, CASE WHEN s < 0.5 THEN 'other' ELSE o END AS choice FROM part JOIN best USING (p_name)
 """)
 def constrain_fallback(spark, sf):
-    options = ["automobile part", "large economy item", "other"]
-    return table(spark, sf, "part").select("p_partkey", text.constrain_outputs("p_type", options).alias("choice"))
+    return table(spark, sf, "part").select("p_partkey", text.constrain_outputs("p_name", FALLBACK).alias("choice"))
 
 
-@query("""
-SELECT p_partkey, round(1 - levenshtein(p_name, p_type) / greatest(length(p_name), length(p_type))::DOUBLE, 6) AS ratio
-FROM part
+@query(f"""
+WITH RECURSIVE {_matched("SELECT p_partkey AS k, p_name AS x, lower(p_type) || ' widget ring' AS y FROM part")}
+SELECT p_partkey, round(2.0::DOUBLE * m / (length(p_name) + length(p_type) + 12), 6) AS ratio FROM part JOIN matched ON k = p_partkey
 """)
 def similarity_ratio(spark, sf):
-    return table(spark, sf, "part").select(
-        "p_partkey", rounded(text.similarity_ratio("p_name", "p_type")).alias("ratio")
-    )
+    other = F.concat(F.lower("p_type"), F.lit(" widget ring"))
+    return table(spark, sf, "part").select("p_partkey", rounded(text.similarity_ratio(F.col("p_name"), other)).alias("ratio"))
 
 
 @query("SELECT event_id, [event_type, 'a,b', CAST(user_id AS VARCHAR), ''] AS labels FROM events")

@@ -1,7 +1,9 @@
 """Prompts, regular expressions, vocabularies, label lists."""
 
 import csv
+import difflib
 import io
+import random
 import re
 
 import pytest
@@ -10,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from winnowmill.errors import InvalidInput
-from winnowmill.functions import text
+from winnowmill.functions import matching, text
 
 
 def apply(spark, values, expression):
@@ -97,13 +99,36 @@ def test_constrain_per_row(spark):
     assert [r[0] for r in df.select(text.constrain_outputs("t", F.col("o"))).collect()] == ["B", "x*y", "q", None]
 
 
-def test_similarity_is_the_edit_distance_over_the_longer_length(spark):
-    rows = [("abcd", "bcde", 0.5), ("", "", 1.0), ("a", "", 0.0), ("kitten", "sitting", 1 - 3 / 7), (None, "a", None)]
-    df = spark.createDataFrame(rows, "a string, b string, want double")
+def test_similarity_counts_matching_blocks(spark):
+    rows = [("abcd", "bcde", 0.75), ("", "", 1.0), ("a", "", 0.0), ("kitten", "sitting", 8 / 13), (None, "a", None), ("a", None, None)]
+    df = spark.createDataFrame(rows * 3, "a string, b string, want double")
     for r in df.withColumn("got", text.similarity_ratio("a", "b")).collect():
         assert r.got == pytest.approx(r.want) if r.want is not None else r.got is None
 
 
+def test_matching_blocks_equal_the_standard_library():
+    """On 2,000 pairs, some with characters so frequent in a long text that they start no block."""
+    random_ = random.Random(6)
+    for _ in range(2000):
+        alphabet = random_.choice(["ab", "abc", "abcdefgh", "the quick brown é😀"])
+        a, b = ("".join(random_.choice(alphabet) for _ in range(random_.choice([0, 2, 9, 40, 230]))) for _ in range(2))
+        b = a[len(a) // 3 :] + b if random_.random() < 0.3 else b
+        assert matching.ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
+
+
+def test_constrain_falls_back_on_matching_blocks(spark):
+    random_, rows = random.Random(7), []
+    for _ in range(300):
+        options = ["".join(random_.choice("abcde ") for _ in range(random_.randint(1, 9))) for _ in range(4)]
+        rows.append(("".join(random_.choice("abcdef ") for _ in range(random_.randint(0, 12))), options))
+    df = spark.createDataFrame(rows, "t string, o array<string>")
+    for r in df.select("t", "o", text.constrain_outputs("t", F.col("o")).alias("got")).collect():
+        named = re.findall("|".join(re.escape(o) for o in r.o), r.t, re.I)
+        rated = [difflib.SequenceMatcher(None, r.t, o).ratio() for o in r.o]
+        best = r.o[rated.index(max(rated))] if max(rated) >= 0.5 else r.o[-1]
+        assert r.got == (named[-1] if named else best)
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.text(alphabet='ab ,"é', max_size=4), min_size=1, max_size=4), min_size=20, max_size=20))
 def test_label_lists_round_trip_through_csv(spark, rows):

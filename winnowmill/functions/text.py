@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 import string
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import InvalidInput
+from . import matching
 
 Replacement = tuple[str, str]
 RegexSpec = str | Replacement | list[Replacement]
@@ -250,20 +252,44 @@ def _canonical(found: Column, options: Sequence[str] | Column) -> Column:
     return F.coalesce(F.when(place > 0, F.try_element_at(listed, place)), found)
 
 
+def _per_pair(function, kind: str):
+    """``function`` of two columns, once for each different pair of a batch; null if either is null."""
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for first, second in batches:
+            found, out = {}, []
+            for a, b in zip(first, second):
+                if a is None or b is None:
+                    out.append(None)
+                    continue
+                key = (a, b if isinstance(b, str) else tuple(b))
+                if key not in found:
+                    found[key] = function(*key)
+                out.append(found[key])
+            yield pd.Series(out, dtype="float64" if kind == "double" else "object")
+
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, returnType=kind)
+
+
 def similarity_ratio(a: Column | str, b: Column | str) -> Column:
-    """One minus the edit distance over the longer length; 1 for two empty texts, null if either is null."""
+    """Twice the characters in matching blocks over all characters; 1 for equal texts, null if either is null.
+
+    The longest common block is matched first, then what is left of it and right of it. Of several longest
+    ones the first in ``a`` counts, then in ``b``. Only unequal texts go to Python, each pair once in a batch.
+    """
     a, b = _as_column(a), _as_column(b)
-    longer = F.greatest(F.length(a), F.length(b), F.lit(1))
-    return F.when(a.isNotNull() & b.isNotNull(), 1 - F.levenshtein(a, b) / longer)
+    unequal = _per_pair(matching.ratio, "double")(F.when(a != b, a), b)
+    return F.when(a == b, F.lit(1.0)).otherwise(unequal)
 
 
-def _closest(text: Column, options: Column) -> Column:
-    """The most similar option, the earlier of equals; the last if none is half alike."""
-    rated = F.transform(
-        options, lambda o, i: F.struct(similarity_ratio(text, o).alias("s"), (-i).alias("place"), o.alias("option"))
-    )
-    best = F.array_max(rated)
-    return F.when(best["s"] >= 0.5, best["option"]).otherwise(F.try_element_at(options, F.lit(-1)))
+def _closest_of(text: str, options: tuple) -> str | None:
+    """The most similar option, the earlier of equals; the last if none is half alike or there is none."""
+    known = [o for o in options if o is not None]
+    rated = [matching.ratio(text, o) for o in known]
+    if rated and max(rated) >= 0.5:
+        return known[rated.index(max(rated))]
+    return options[-1] if options else None
 
 
 def constrain_outputs(
@@ -286,7 +312,9 @@ def constrain_outputs(
     if not fallback:
         return picked
     listed = options if isinstance(options, Column) else F.array(*[F.lit(o) for o in options])
-    return F.coalesce(picked, F.when(text.isNotNull(), _closest(text, listed)))
+    # Texts that name an option are null for the function, so that only the others are rated.
+    closest = _per_pair(_closest_of, "string")(F.when(found.isNull(), text), listed)
+    return F.coalesce(picked, closest)
 
 
 # --- lists and dates -----------------------------------------------------------------------------
