@@ -344,11 +344,21 @@ def calibrate_scores(spark, sf):
     return model.transform(rows).select("doc_id", rounded("calibrated_score").alias("calibrated_score"))
 
 
+@query()
+def calibrate_jointly(spark, sf):
+    """Both scores of a document together; trees are not for SQL, a test compares them with plain Python."""
+    rated = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    features = F.array((F.col("n_chars") % 97) / F.lit(97.0), 1 / (1 + F.col("n_chars")))
+    rows = rated.select("doc_id", features.alias("features"), F.col("quality").cast("double").alias("rating"))
+    model = calibrate.JointCalibration(2).fit(rows, "rating")
+    return model.transform(rows).select("doc_id", rounded("calibrated_score").alias("calibrated_score"))
+
+
 @query(f"""
 WITH {PAIRS}, rated AS (
   SELECT conv_id, turn, (length(response) % 10) / 9.0::DOUBLE AS r,
-         round(length(response)::DOUBLE / (length(prompt) + length(response)) * 100) / 100 AS x1,
-         round(1.0::DOUBLE / (1 + length(response)) * 100) / 100 AS x2 FROM pairs),
+         round(length(response)::DOUBLE / (length(prompt) + length(response)) * 10000) / 10000 AS x1,
+         round(1.0::DOUBLE / (1 + length(response)) * 10000) / 10000 AS x2 FROM pairs),
 {_isotonic(1)}, {_isotonic(2)}
 SELECT conv_id, turn, round((f1.y + f2.y) / 2, 6) AS calibrated_score FROM rated JOIN f1 ON f1.x = x1 JOIN f2 ON f2.x = x2
 """)
@@ -356,7 +366,7 @@ def score_pairs_calibrated(spark, sf):
     """Pairs scored, a calibration fitted to ratings of the same pairs, and its score in every result."""
     scored = scoring.score_pairs(_pairs(spark, sf), "prompt", "response", pair_scorer)
     scored = durable(scored.withColumn("rating", (F.length("response") % 10).cast("double")))
-    model = calibrate.Calibration(2, grid=100).fit(scoring.score_features(scored, "scored", criteria=1), "rating")
+    model = calibrate.Calibration(2).fit(scoring.score_features(scored, "scored", criteria=1), "rating")
     out = calibrate.with_calibrated_score(scored, "scored", model)
     return out.select("conv_id", "turn", rounded("scored.calibrated_score").alias("calibrated_score"))
 
