@@ -176,10 +176,13 @@ def near_dup_exact(spark, sf):
 
 # All pairs of texts that share a shingle, their exact Jaccard similarity, and the closure of the
 # pairs at 0.8 or more.
-@query(r"""
-WITH RECURSIVE norm AS (
-  SELECT doc_id, trim(regexp_replace(lower(text), '[ \t\n\r\f\x0B]+', ' ', 'g')) AS t FROM documents WHERE text IS NOT NULL),
-firsts AS (SELECT min(doc_id) AS id, t FROM norm GROUP BY t),
+def _clusters(texts: str, id_col: str) -> str:
+    """SQL of the clusters of the table ``texts`` (id_col, text)."""
+    return rf"""
+WITH RECURSIVE texts AS ({texts}),
+norm AS (
+  SELECT {id_col} AS own, trim(regexp_replace(lower(text), '[ \t\n\r\f\x0B]+', ' ', 'g')) AS t FROM texts WHERE text IS NOT NULL),
+firsts AS (SELECT min(own) AS id, t FROM norm GROUP BY t),
 toks AS (SELECT id, string_split(t, ' ') AS w FROM firsts WHERE t <> ''),
 shingles AS (
   SELECT DISTINCT id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
@@ -193,26 +196,27 @@ edges AS (
 sym AS (SELECT x AS u, y AS v FROM edges UNION SELECT y, x FROM edges),
 reach AS (SELECT u AS id, u AS r FROM sym UNION SELECT reach.id, sym.v FROM reach JOIN sym ON sym.u = reach.r),
 comp AS (SELECT id, min(r) AS c FROM reach GROUP BY id),
-sized AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS f, count(*) OVER (PARTITION BY t) AS n FROM norm)
-SELECT d.doc_id, coalesce(comp.c, CASE WHEN n > 1 THEN f END) IS NOT NULL AS is_near_duplicate,
+sized AS (SELECT own, min(own) OVER (PARTITION BY t) AS f, count(*) OVER (PARTITION BY t) AS n FROM norm)
+SELECT d.{id_col}, coalesce(comp.c, CASE WHEN n > 1 THEN f END) IS NOT NULL AS is_near_duplicate,
        coalesce(comp.c, CASE WHEN n > 1 THEN f END) AS near_duplicate_cluster_id
-FROM documents d LEFT JOIN sized USING (doc_id) LEFT JOIN comp ON comp.id = f
-""")
+FROM texts d LEFT JOIN sized ON own = d.{id_col} LEFT JOIN comp ON comp.id = f
+"""
+
+
+@query(_clusters("SELECT doc_id, text FROM documents", "doc_id"))
 def near_dup_fuzzy(spark, sf):
     return near_duplicates.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
 
 
-# Every benchmark text gives a chain of five texts of 64 numbered words, each five words on: neighbours
-# have 55 of 65 shingles in common, texts two apart 50 of 70.
-@query("""
-SELECT item_id * 5 + step AS chain_id, true AS is_near_duplicate, item_id * 5 AS near_duplicate_cluster_id
-FROM benchmark, range(5) t(step)
-""")
+# Five windows of 64 words of each text that has as many, each five words on: neighbours have 55 of 65
+# shingles in common, windows two apart 50 of 70, unless words repeat.
+@query(_clusters("""
+SELECT doc_id * 5 + step AS chain_id, array_to_string(w[step * 5 + 1 : step * 5 + 64], ' ') AS text
+FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents WHERE len(string_split(text, ' ')) >= 84), range(5) t(step)
+""", "chain_id"))
 def near_dup_chains(spark, sf):
-    steps = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("step")
-    items = table(spark, sf, "benchmark").select("item_id", steps)
-    words = F.transform(
-        F.sequence(F.col("step") * 5, F.col("step") * 5 + 63), lambda i: F.concat_ws("x", F.col("item_id"), i)
-    )
-    chains = items.select((F.col("item_id") * 5 + F.col("step")).alias("chain_id"), F.array_join(words, " ").alias("text"))
+    words = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("w")).where(F.size("w") >= 84)
+    steps = words.select("doc_id", "w", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("step"))
+    window = F.array_join(F.slice("w", F.col("step") * 5 + 1, F.lit(64)), " ")
+    chains = steps.select((F.col("doc_id") * 5 + F.col("step")).alias("chain_id"), window.alias("text"))
     return near_duplicates.near_duplicates(chains, "chain_id", "text")

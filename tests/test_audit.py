@@ -40,6 +40,25 @@ def test_exact_neighbours_with_a_hot_vector(vectors, block_rows):
     assert {i: [n[j] for j in sorted(n)] for i, n in got.items()} == brute(data, 5)
 
 
+def test_cells_that_cannot_hold_a_neighbour_are_skipped(spark):
+    """Clustered vectors, one cluster a third of all, some vectors of zeros: most pairs of cells are never compared."""
+    rng = np.random.default_rng(6)
+    centers = rng.standard_normal((30, 16)) * 4
+    sizes = [300] + [20] * 29
+    data = np.concatenate([c + rng.standard_normal((n, 16)) * 0.3 for c, n in zip(centers, sizes)] + [np.zeros((3, 16))])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id bigint, v array<double>")
+    rows = neighbors.nearest_neighbors(df, "id", "v", 5, cell_rows=20, block_rows=64).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r["id"], []).append(r["neighbor_id"])
+    assert got == brute(data, 5)
+    vectors = df.select("id", F.col("v").alias("vec"), F.lit(None).cast("string").alias("label"))
+    cells, pivots = neighbors._in_cells(vectors, len(data), 20)
+    bounded = cells.select("id", "vec", "cell", F.lit(0.95).alias("bound"))
+    visits = neighbors.cells_to_visit(bounded, cells, pivots).count()
+    assert visits < 0.3 * len(data) * len(pivots)
+
+
 def test_hashed_neighbours_find_most(spark):
     rng = np.random.default_rng(4)
     centers = rng.standard_normal((20, 16)) * 3
@@ -143,9 +162,9 @@ def test_exact_duplicates(spark):
 def test_chains_whose_ends_are_unlike(spark):
     """Neighbours in a chain are alike, texts two apart are not: every chain is one cluster."""
     rng, texts = random.Random(3), {}
-    for chain in range(10):
+    for chain in range(60):
         words = [f"c{chain}w{i}" for i in range(200)]
-        for step in range(6):
+        for step in range(12):
             texts[len(texts)] = " ".join(words[5 * step : 5 * step + 64])
     order = list(texts.items())
     rng.shuffle(order)
@@ -153,7 +172,22 @@ def test_chains_whose_ends_are_unlike(spark):
     df = spark.createDataFrame(sorted(texts.items()), "id bigint, t string").repartition(5)
     got = {r.id: r.near_duplicate_cluster_id for r in near_duplicates.near_duplicates(df, "id", "t").collect()}
     assert got == brute_clusters(texts, 0.8)
-    assert len(set(got.values())) == 10
+    assert len(set(got.values())) == 60
+
+
+def test_many_texts_that_share_a_rare_shingle_stay_apart(spark):
+    """5,000 texts with one sentence in common, which is rarer than what else they have, and a few that are alike."""
+    rng, texts = random.Random(4), {}
+    common = [f"s{i}" for i in range(12)]
+    for i in range(5000):
+        texts[i] = " ".join([f"v{rng.randrange(9)}" for _ in range(25)] + common)
+    for i in range(5000, 5040):
+        texts[i] = texts[i - 4000] + f" z{i % 3}"
+    df = spark.createDataFrame(sorted(texts.items()), "id bigint, t string").repartition(5)
+    got = {r.id: r.near_duplicate_cluster_id for r in near_duplicates.near_duplicates(df, "id", "t").collect()}
+    want = brute_clusters({i: t for i, t in texts.items() if 1000 <= i < 1100 or i >= 5000}, 0.8)
+    assert {i: got[i] for i in want} == want
+    assert sum(c is not None for c in got.values()) == sum(c is not None for c in want.values())
 
 
 # --- audit columns -------------------------------------------------------------------------------
