@@ -133,9 +133,16 @@ def _documents(index: Index, texts: list) -> tuple[np.ndarray, np.ndarray, np.nd
     return ids, np.cumsum(counts + 1) - counts - 1, counts
 
 
+def _index_of(values: dict) -> Index:
+    """The index of broadcast plain values, which executors can read without the class."""
+    index = object.__new__(Index)
+    index.__dict__.update(values)
+    return index
+
+
 def _counted(shared):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = _index_of(shared.value)
         total = np.zeros(len(index.shingles), np.int64)
         for batch in batches:
             for _, texts in pieces(batch, 0):
@@ -149,7 +156,7 @@ def _counted(shared):
 
 def _marked(shared, text_at: int, kept: Sequence[str], schema: pa.Schema, found_before: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = _index_of(shared.value)
         for batch in batches:
             for first, texts in pieces(batch, text_at):
                 rows = batch.slice(first, len(texts))
@@ -241,11 +248,11 @@ def decontaminate(
         index = Index(lines, owners, shingle)
         texts = rows.select("text")
         counts = np.zeros(len(index.shingles), np.int64)
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(vars(index))
         for row in texts.mapInArrow(_counted(shared), "shingle bigint, n bigint").groupBy("shingle").sum("n").collect():
             counts[row[0]] = row[1]
         index.order(counts)
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(vars(index))
         last = number + 1 == blocks
         carried = ["row"] if last else ["row", "text"]
         schema = StructType([rows.schema[c] for c in carried] + new)
