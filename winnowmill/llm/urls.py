@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.skew import attach_group_values
 from .common import col, stored
 
 #: Where most distinct segments have one page, those with fewer pages than this are chance repeats of ids.
 MIN_PAGES = 5
-#: A merged branch names this many of its segments, and the number of the others as "%+n".
-NAMED = 50
-#: Segments beyond this depth form one segment together.
-MAX_DEPTH = 8
 #: Weight, in labelled pages, of the parent's purity in that of a node.
 PRIOR_PAGES = 10.0
-#: Branches whose shares of bad pages differ by fewer standard errors are merged.
+#: A branch whose share of bad pages differs from that of a group by fewer standard errors may join it.
 SIMILAR = 2.58
-#: Fewer labelled pages do not differ from as many others by SIMILAR; such branches bridge no others.
+#: With fewer labelled pages nothing differs by SIMILAR; such a branch stays by itself, with its parent's purity.
 MIN_LABELLED = 4
+#: Shares of bad pages are told apart in steps of one in so many, so that a node has few to compare.
+STEPS = 64
 REJECT = 0.5
 
 
@@ -48,106 +47,137 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
     return rule, verdict
 
 
-def _segment(segments: Column, depth: int) -> Column:
-    if depth < MAX_DEPTH:
-        return F.get(segments, F.lit(depth - 1))
-    return F.array_join(F.slice(segments, depth, F.greatest(F.size(segments), F.lit(1))), "/")
+def _purity(bad: Column, labelled: Column, prior: Column) -> Column:
+    return (bad + prior * PRIOR_PAGES) / (labelled + PRIOR_PAGES)
 
 
-def _purity(bad: str, labelled: str, prior: Column) -> Column:
-    return (F.col(bad) + prior * PRIOR_PAGES) / (F.col(labelled) + PRIOR_PAGES)
+def _escaped(segment: Column) -> Column:
+    for sign, code in (("%", "%25"), ("*", "%2A"), ("|", "%7C")):
+        segment = F.replace(segment, F.lit(sign), F.lit(code))
+    return segment
 
 
-def path_templates(pages: DataFrame, folder_name: str = "url-templates") -> DataFrame:
-    """``(row, template, purity)`` for pages ``(row, host, path, bad)``; ``bad`` is 1, 0 or null (no label).
+def _differ(one: Column, two: Column) -> Column:
+    """Whether the shares of bad pages of two ``(labelled, bads)`` differ significantly."""
+    n, m = one["labelled"], two["labelled"]
+    pooled = (one["bads"] + two["bads"]) / (n + m)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
+    return F.abs(one["bads"] / n - two["bads"] / m) > error * SIMILAR
+
+
+def _grouped(steps: Column) -> Column:
+    """``(step, labelled, bads)`` in order of step -> groups ``(first, last, labelled, bads)`` of similar ones.
+
+    The next step joins a group as long as neither it nor the group's first step then differs from the whole.
+    """
+    sums = lambda x: F.struct(x["labelled"].alias("labelled"), x["bads"].alias("bads"))
+    alone = lambda x: F.struct(
+        x["step"].alias("first"), x["step"].alias("last"), x["labelled"].alias("labelled"), x["bads"].alias("bads"), sums(x).alias("start")
+    )
+
+    def add(groups: Column, x: Column) -> Column:
+        last = F.element_at(groups, -1)
+        whole = F.struct((last["labelled"] + x["labelled"]).alias("labelled"), (last["bads"] + x["bads"]).alias("bads"))
+        joined = F.struct(last["first"].alias("first"), x["step"].alias("last"), whole["labelled"].alias("labelled"),
+                          whole["bads"].alias("bads"), last["start"].alias("start"))
+        begins = _differ(sums(x), whole) | _differ(last["start"], whole)
+        grown = F.concat(F.slice(groups, F.lit(1), F.size(groups) - 1), F.array(joined))
+        return F.when(begins, F.concat(groups, F.array(alone(x)))).otherwise(grown)
+
+    first = F.array(alone(F.element_at(steps, 1)))
+    return F.aggregate(F.slice(steps, F.lit(2), F.greatest(F.size(steps) - 1, F.lit(0))), first, add)
+
+
+def _branches(children: DataFrame) -> DataFrame:
+    """``(node, segment, branch, branch_purity)``: the branch of each segment below each node.
+
+    ``children`` has ``(node, segment, n, labelled, bads, parent)``. The row with a null segment is the wildcard,
+    which has the segments that are taken for a variable. Branches are compared by the share of bad pages in
+    STEPS steps, so no node brings more than these into one row, however many segments it has.
+    """
+    ids = children.groupBy("node").agg((F.avg((F.col("n") == 1).cast("int")) > 0.5).alias("ids"), F.count("*").alias("rows"))
+    known = attach_group_values(children, ids, "node", "rows", "segment")
+    share = (F.col("n") >= MIN_PAGES) | ((F.col("n") > 1) & ~F.col("ids"))
+    known = known.withColumn("literal", F.when(share, F.col("segment")))
+    named = known.groupBy("node", "literal").agg(
+        F.sum("labelled").alias("labelled"), F.sum("bads").alias("bads"), F.max("parent").alias("parent")
+    )
+    step = F.when(F.col("labelled") >= MIN_LABELLED, F.round(F.col("bads") / F.col("labelled") * STEPS).cast("int"))
+    named = stored(named.withColumn("step", step), "url-branches")
+    # The names of a group are its first one and how many more there are.
+    steps = named.where("step IS NOT NULL").groupBy("node", "step").agg(F.sum("labelled").alias("labelled"), F.sum("bads").alias("bads"))
+    entry = F.struct("step", "labelled", "bads")
+    groups = steps.groupBy("node").agg(F.sort_array(F.collect_list(entry)).alias("steps"))
+    groups = groups.select("node", F.explode(_grouped(F.col("steps"))).alias("g"))
+    groups = groups.select("node", "g.labelled", "g.bads", "g.first", F.explode(F.sequence("g.first", "g.last")).alias("step"))
+    groups = groups.select(*[F.col(c).alias(f"g_{c}") for c in ("node", "step", "first", "labelled", "bads")])
+    of_step = (F.col("node") == F.col("g_node")) & (F.col("step") == F.col("g_step"))
+    placed = named.join(groups, of_step, "left").drop("g_node", "g_step")
+    name = F.coalesce(_escaped(F.col("literal")), F.lit("*"))
+    names = placed.where("g_first IS NOT NULL").groupBy("node", "g_first").agg(F.min(name).alias("least"), (F.count("*") - 1).alias("more"))
+    names = names.select(F.col("node").alias("n_node"), F.col("g_first").alias("n_first"), "least", "more")
+    of_group = (F.col("node") == F.col("n_node")) & (F.col("g_first") == F.col("n_first"))
+    placed = placed.join(names, of_group, "left")
+    several = F.when(F.col("more") > 0, F.concat("least", F.lit("|%+"), "more")).otherwise(F.col("least"))
+    branch = F.struct(
+        F.coalesce(several, name).alias("branch"),
+        F.coalesce(_purity(F.col("g_bads"), F.col("g_labelled"), F.col("parent")), F.col("parent")).alias("branch_purity"),
+    )
+    placed = placed.select(F.col("node").alias("b_node"), F.col("literal").alias("b_literal"), branch.alias("found"))
+    same = (F.col("node") == F.col("b_node")) & F.col("literal").eqNullSafe(F.col("b_literal"))
+    return known.select("node", "segment", "literal").join(placed, same).select("node", "segment", "found.branch", "found.branch_purity")
+
+
+def path_templates(pages: DataFrame) -> DataFrame:
+    """``(host, path, template, purity)`` for every different host and path of ``(host, path, bad)``.
+
+    ``bad`` is 1, 0 or null (no label). Level by level, from each host's root: the segments below a node are
+    counted. Those of one page only and, where these are most, those of fewer than MIN_PAGES are taken for
+    a variable and become one wildcard; all others stay, however many a node has. Branches are put in order
+    of their share of bad pages and merged into groups of similar ones; those with fewer than MIN_LABELLED
+    labelled pages stay by themselves and have their parent's purity. A group's purity is its share of bad
+    labelled pages, smoothed towards its parent's, the root's towards that of all pages.
 
-    Level by level, from each host's root: the segments below a node are counted. Those of one page only
-    and, where these are most, those of fewer than MIN_PAGES are taken for a variable and become one
-    wildcard; all others stay, however many a node has.
-    The branches of a node are sorted by their share of bad pages, and neighbours
-    that do not differ significantly are merged into one branch, "en|fr". Branches with fewer than
-    MIN_LABELLED labelled pages form one by themselves. A branch's purity is its share
-    of bad labelled pages, smoothed towards its parent's, the root's towards that of all pages.
+    Pages are counted by host and path first. A node below which all paths are alike is not opened, so the
+    levels end with the deepest node that branches.
     """
     labels = [F.count("bad").cast("double").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).cast("double").alias("bads")]
+    paths = pages.groupBy("host", "path").agg(F.count("*").alias("n"), *labels)
     split = F.split("path", "/")
     # A path begins with a slash, so the first part is empty; one without is taken whole.
     segments = F.when(F.col("path").startswith("/"), F.slice(split, 2, F.size(split))).otherwise(split)
-    rows = pages.select("row", "host", "bad", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments).alias("segments"))
-    total = rows.agg(*labels).first()
+    segments = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments)
+    rows = stored(paths.withColumn("rest", segments), "url-paths")
+    sums = [F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bads").alias("bads")]
+    total = rows.agg(*sums).first()
     prior = (total["bads"] or 0.0) / total["labelled"] if total["labelled"] else 0.0
-    roots = rows.groupBy("host").agg(*labels).select(
-        F.col("host").alias("root"), _purity("bads", "labelled", F.lit(prior)).alias("purity")
-    )
-    rows = rows.join(roots, F.col("host") == F.col("root")).drop("root").withColumn("template", F.lit(""))
-    rows = stored(rows, folder_name)
-    deepest = min(MAX_DEPTH, rows.agg(F.max(F.size("segments"))).first()[0] or 0)
-    node = ["host", "template"]
-    for depth in range(1, deepest + 1):
-        here = F.col("depth_segment").isNotNull()
-        rows = rows.withColumn(
-            "depth_segment", F.when(F.size("segments") >= depth, _segment(F.col("segments"), depth))
-        )
-        children = rows.where(here).groupBy(*node, "depth_segment").agg(
-            F.count("*").alias("n"), *labels, F.max("purity").alias("parent")
-        )
-        children = stored(children, folder_name)
-        ids = children.groupBy(*node).agg((F.avg((F.col("n") == 1).cast("int")) > 0.5).alias("ids"))
-        share = (F.col("n") >= MIN_PAGES) | ((F.col("n") > 1) & ~F.col("ids"))
-        # The wildcard is null until it gets its name, so no segment is mistaken for it.
-        named = children.join(ids, node).withColumn("literal", F.when(share, F.col("depth_segment")))
-        branches = named.groupBy(*node, "literal").agg(
-            F.sum("labelled").alias("labelled"), F.sum("bads").alias("bads"), F.max("parent").alias("parent")
+    roots = rows.groupBy("host").agg(*sums, F.count("*").alias("rows"))
+    roots = roots.select("host", "rows", _purity(F.col("bads"), F.col("labelled"), F.lit(prior)).alias("purity"))
+    rows = attach_group_values(rows, roots, "host", "rows", "path").drop("rows").withColumn("template", F.lit(""))
+    done, node = None, F.xxhash64("host", "template")
+    while True:
+        rows = rows.withColumn("node", node)
+        alike = rows.groupBy("node").agg(F.min("rest").alias("low"), F.max("rest").alias("high"), F.count("*").alias("rows"))
+        alike = alike.select("node", "rows", (F.col("low") < F.col("high")).alias("open"))
+        rows = stored(attach_group_values(rows, alike, "node", "rows", "path").drop("rows"), "url-level")
+        ended = ~F.col("open") | (F.size("rest") == 0)
+        leaves = rows.where(ended).select("host", "path", "template", "purity")
+        done = leaves if done is None else done.unionByName(leaves)
+        rows = rows.where(~ended).withColumn("segment", F.element_at("rest", 1))
+        if rows.isEmpty():
+            return done
+        children = rows.groupBy("node", "segment").agg(*sums, F.max("purity").alias("parent"), F.count("*").alias("rows"))
+        children = stored(children, "url-children")
+        found = _branches(children.drop("rows")).join(
+            children.select(F.col("node").alias("c_node"), F.col("segment").alias("c_segment"), "rows"),
+            (F.col("node") == F.col("c_node")) & (F.col("segment") == F.col("c_segment")),
         )
-        merged = stored(_merged(branches, node), folder_name)
-        literal = merged.where("literal IS NOT NULL").select(
-            *[F.col(c).alias(f"l_{c}") for c in node], F.col("literal").alias("l_segment"),
-            F.struct("branch", "branch_purity").alias("of_literal"),
-        )
-        wildcard = merged.where("literal IS NULL").select(
-            *[F.col(c).alias(f"w_{c}") for c in node], F.struct("branch", "branch_purity").alias("of_wildcard")
-        )
-        at = [F.col(f"l_{c}") == F.col(c) for c in node] + [F.col("l_segment") == F.col("depth_segment")]
-        rows = rows.join(literal, at, "left").join(wildcard, [F.col(f"w_{c}") == F.col(c) for c in node], "left")
-        found = F.when(here, F.coalesce("of_literal", "of_wildcard"))
+        found = found.select(F.struct("node", "segment").alias("place"), "branch", "branch_purity", "rows")
+        rows = attach_group_values(rows.withColumn("place", F.struct("node", "segment")), found, "place", "rows", "path")
         rows = rows.select(
-            "row", "host", "bad", "segments",
-            F.coalesce(F.concat("template", F.lit("/"), found["branch"]), "template").alias("template"),
-            F.coalesce(found["branch_purity"], "purity").alias("purity"),
+            "host", "path", "n", "labelled", "bads", F.slice("rest", F.lit(2), F.size("rest") - 1).alias("rest"),
+            F.concat("template", F.lit("/"), "branch").alias("template"), F.col("branch_purity").alias("purity"),
         )
-        rows = stored(rows, folder_name)
-    return rows.select("row", "template", "purity")
-
-
-def _merged(branches: DataFrame, node: list[str]) -> DataFrame:
-    """Branches with the name and purity of the branch they are merged into."""
-    rated = branches.withColumn("rate", _purity("bads", "labelled", F.col("parent")))
-    # Without labels nothing tells branches apart: these stay out of the order and join no others.
-    rated = rated.withColumn("weak", F.col("labelled") < MIN_LABELLED)
-    order = Window.partitionBy(*node, "weak").orderBy("rate", "literal")
-    n, m = F.col("labelled"), F.lag("labelled").over(order)
-    bads = F.lag("bads").over(order)
-    pooled = (F.col("bads") + bads) / (n + m)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
-    apart = F.abs(F.col("bads") / n - bads / m) > error * SIMILAR
-    starts = F.when(~F.col("weak") & m.isNotNull(), apart).otherwise(F.lit(False))
-    grouped = rated.withColumn("starts", F.coalesce(starts, F.lit(False)).cast("int"))
-    grouped = grouped.withColumn("run", F.sum("starts").over(order)).drop("starts")
-    safe = F.replace(F.replace(F.replace("literal", F.lit("%"), F.lit("%25")), F.lit("*"), F.lit("%2A")), F.lit("|"), F.lit("%7C"))
-    whole = Window.partitionBy(*node, "weak", "run")
-    grouped = grouped.withColumn("name", F.coalesce(safe, F.lit("*")))
-    # Runs may have any number of segments: windows spill, and the names collected are bounded.
-    place = F.row_number().over(whole.orderBy("name"))
-    grouped = grouped.withColumn("shown", F.when(place <= NAMED, F.col("name")))
-    more = F.count("*").over(whole) - NAMED
-    names = F.array_join(F.sort_array(F.collect_list("shown").over(whole)), "|")
-    sums = grouped.select(
-        *node, "literal", "parent", F.when(more > 0, F.concat(names, F.lit("|%+"), more)).otherwise(names).alias("branch"),
-        F.sum("labelled").over(whole).alias("all_labelled"), F.sum("bads").over(whole).alias("all_bads"),
-    )
-    return sums.select(
-        *node, "literal", "branch", _purity("all_bads", "all_labelled", F.col("parent")).alias("branch_purity")
-    )
 
 
 def filter_urls(
@@ -166,17 +196,17 @@ def filter_urls(
     repeated urls count as often as they occur. An empty table gives an empty result.
     """
     host, path = host_and_path(col(url_col))
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), col(id_col).alias("id"), host.alias("host"), path.alias("path")
-    )
-    rows = stored(rows, "url-rows")
+    rows = pages.select(col(id_col).alias("id"), host.alias("host"), path.alias("path"))
+    rows = stored(rows.withColumn("place", F.struct("host", "path")), "url-rows")
     judged = labels.groupBy("host", "path").agg(F.max("bad").alias("bad"))
-    judged = judged.select(F.col("host").alias("l_host"), F.col("path").alias("l_path"), "bad")
-    known = rows.join(judged, (F.col("host") == F.col("l_host")) & (F.col("path") == F.col("l_path")), "left")
-    templates = path_templates(known.select("row", "host", "path", "bad")).withColumnRenamed("row", "of_row")
+    counts = rows.groupBy("place").agg(F.count("*").alias("rows"))
+    judged = counts.join(judged.select(F.struct("host", "path").alias("of"), "bad"), F.col("place") == F.col("of")).drop("of")
+    known = attach_group_values(rows, judged, "place", "rows", "id")
+    templates = path_templates(known.select("host", "path", "bad"))
+    templates = templates.select(F.struct("host", "path").alias("place"), "template", "purity").join(counts, "place")
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     pure = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
-    return rows.join(templates, F.col("row") == F.col("of_row")).select(
+    return attach_group_values(rows, templates, "place", "rows", "id").select(
         F.col("id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(verdict, pure).alias("verdict"),
         "template", "purity",
     )
