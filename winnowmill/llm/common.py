@@ -58,35 +58,38 @@ def let(value: Column, body) -> Column:
 
 
 def _marked(rows: DataFrame, key: Column, wanted: DataFrame, words: int) -> DataFrame:
-    """``rows`` plus ``__maybe``: whether the key may be in the first column of ``wanted``.
+    """``(row, maybe)``: all columns of ``rows`` as one, and whether the key may be in the first column of ``wanted``.
 
     A bit array of the wanted keys, ``words`` rows of 64 bits and so of a fixed size, is broadcast.
     """
-    wanted = wanted.toDF("__key").select(F.xxhash64("__key").alias("__h"))
+    hashed = wanted.toDF("key").select(F.xxhash64("key").alias("h"))
     word, bit = lambda h: F.pmod(F.shiftright(h, 6), F.lit(words)), lambda h: h.bitwiseAND(63).cast("int")
     # Shifting by a column is an SQL function only.
-    table = wanted.select(word(F.col("__h")).alias("__word"), bit(F.col("__h")).alias("__bit")).groupBy("__word")
-    table = table.agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
-    marked = rows.withColumn("__h", F.xxhash64(key)).withColumn("__word", word(F.col("__h")))
-    marked = marked.withColumn("__bit", bit(F.col("__h"))).join(F.broadcast(table), "__word", "left")
-    maybe = F.coalesce(F.expr("shiftright(__bits, __bit) & 1L = 1L"), F.lit(False))
-    return marked.withColumn("__maybe", maybe).drop("__h", "__word", "__bit", "__bits")
+    table = hashed.select(word(F.col("h")).alias("word"), bit(F.col("h")).alias("bit")).groupBy("word")
+    table = table.agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).withColumnRenamed("word", "of_word")
+    marked = rows.select(packed(rows, rows.columns), F.xxhash64(key).alias("h"))
+    marked = marked.select("row", word(F.col("h")).alias("word"), bit(F.col("h")).alias("bit"))
+    marked = marked.join(F.broadcast(table), F.col("word") == F.col("of_word"), "left")
+    return marked.select("row", F.coalesce(F.expr("shiftright(bits, bit) & 1L = 1L"), F.lit(False)).alias("maybe"))
 
 
 def likely_in(rows: DataFrame, key: Column, wanted: DataFrame, words: int = 1 << 18) -> DataFrame:
-    """Rows whose key may be wanted: none that is goes missing, few others stay for an exact join to shuffle."""
-    return _marked(rows, key, wanted, words).where("__maybe").drop("__maybe")
+    """Rows whose key may be wanted: none that is goes missing, few others stay for an exact join to shuffle.
+
+    Columns of any name stay as they are.
+    """
+    return _marked(rows, key, wanted, words).where("maybe").select(*unpacked(rows.columns))
 
 
 def without(rows: DataFrame, name: str, gone: DataFrame, words: int = 1 << 18) -> DataFrame:
     """Rows whose column ``name`` is not in the one column of ``gone``; null is in none.
 
-    Only rows whose key may be gone are shuffled for the exact anti-join.
+    Only rows whose key may be gone are shuffled for the exact anti-join. Columns of any name stay as they are.
     """
     marked = _marked(rows, col(name), gone, words)
-    gone = gone.toDF("__gone")
-    checked = marked.where("__maybe").join(gone, col(name) == F.col("__gone"), "left_anti")
-    return marked.where(~F.col("__maybe")).unionByName(checked).drop("__maybe")
+    own = F.col("row").getField(name)
+    checked = marked.where("maybe").join(gone.toDF("gone_key"), own == F.col("gone_key"), "left_anti")
+    return marked.where("NOT maybe").unionByName(checked).select(*unpacked(rows.columns))
 
 
 def pieces(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[tuple[int, list]]:

@@ -10,9 +10,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ..plans.components import connected_components
-from .common import MIX, WordHashes, col, likely_in, pieces, scrambled, stored
+from ..plans.skew import attach_group_values
+from .common import MIX, WordHashes, col, likely_in, packed, pieces, scrambled, stored, unpacked
 
 LANE_BITS = 12
 LANES = 5  # five lanes of twelve bits fill one signed 64-bit word and leave the sign alone
@@ -83,11 +85,6 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, words: int, sets: bool) -
     return rows.mapInArrow(scan, schema)
 
 
-def _node(low_id: Column, digest: Column) -> Column:
-    """A set's name: the smallest id that has it; sets that only rows without id have get a hash."""
-    return F.coalesce(low_id, F.xxhash64(digest))
-
-
 def _keys(sets: DataFrame) -> DataFrame:
     """``(key, node)``: per chunk and per choice of ERRORS = 1 lane that may differ, the other lanes."""
     lane = (1 << LANE_BITS) - 1
@@ -124,16 +121,17 @@ def _links_all(percent: int, a: str, b: str) -> Column:
     return shared * 100 >= (F.size(a) + F.size(b) - shared) * percent
 
 
-def _full_sets(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``(node, hashes)``: the shingles of the named sets, from their texts, which are read again."""
-    wanted = stored(nodes.select(F.col("node").alias("__wanted")).distinct(), "near-wanted")
+def _full_sets(nodes: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``(node, hashes)``: the shingles of the named sets, from texts that have them, which are read again."""
+    wanted = stored(nodes.select("node").distinct().join(sets.select("node", "low_id"), "node"), "near-wanted")
+    ids = wanted.where("low_id IS NOT NULL").select(F.col("low_id").alias("__wanted")).distinct()
     rows = docs.select(col(id_col).cast("bigint").alias("id"), col(text_col).alias("text"))
-    known = likely_in(rows.where(F.col("id").isNotNull()), F.col("id"), wanted)
-    known = known.join(wanted, F.col("id") == F.col("__wanted"), "left_semi")
+    known = likely_in(rows.where(F.col("id").isNotNull()), F.col("id"), ids)
+    known = known.join(ids, F.col("id") == F.col("__wanted"), "left_semi")
     full = _scan(known.unionByName(rows.where(F.col("id").isNull())), "id", "text", words, sets=True)
-    full = full.where("n > 0").select(_node(F.col("id"), F.col("digest")).alias("node"), "digest", "hashes")
-    # An id may occur with several texts; equal rows are folded.
-    return full.groupBy("node", "digest").agg(F.first("hashes").alias("hashes")).drop("digest")
+    full = full.where("n > 0").select(F.xxhash64("digest").alias("node"), "hashes")
+    # An id may occur with several texts, and a text with several ids.
+    return full.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
 def _with_leaders(members: DataFrame, sets: DataFrame, full_sets, percent: int, least_equal: int) -> DataFrame:
@@ -155,6 +153,7 @@ def near_duplicates(
     words: int = 5,
     percent: int = 80,
     least_equal: int = 16,
+    detail: bool = False,
 ) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row; ids are whole numbers.
 
@@ -163,7 +162,8 @@ def near_duplicates(
     everything reachable by links; ``component_id`` is the smallest id in it, and ``kept`` says that the
     row has this id. Texts without words, and null, have ``n_shingles`` 0 and are linked with nothing.
     Rows without id take part and are not kept if their component has an id; without any,
-    ``component_id`` is null and they are kept. Rows that repeat an id count as one document.
+    ``component_id`` is null and they are kept. Rows that repeat an id are told apart by their sets. With
+    ``detail`` there are the columns ``digest`` of the set and ``component``, a number of the component, too.
 
     Signatures hold SLOTS MinHash values of LANE_BITS bits in CHUNKS chunks of LANES lanes. By
     pigeonhole two signatures that differ in at most 2 * CHUNKS - 1 lanes differ in at most one lane of
@@ -182,29 +182,49 @@ def near_duplicates(
     sets = (
         scanned.where("digest IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("id").alias("low_id"), F.first("n").alias("n"), *[F.first(s).alias(s) for s in names])
+        .agg(F.min("id").alias("low_id"), F.count("*").alias("rows"), F.first("n").alias("n"), *[F.first(s).alias(s) for s in names])
     )
-    sets = stored(sets.withColumn("node", _node(F.col("low_id"), F.col("digest"))), "near-sets")
+    sets = stored(sets.withColumn("node", F.xxhash64("digest")), "near-sets")
     keys = _keys(sets)
     buckets = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min("node").alias("leader")).where("rows > 1")
     members = stored(keys.join(buckets, "key").select("key", "kind", "node", "leader"), "near-members")
 
-    full_sets = lambda nodes: _full_sets(nodes, docs, id_col, text_col, words)
+    full_sets = lambda nodes: _full_sets(nodes, sets, docs, id_col, text_col, words)
     linked = stored(_with_leaders(members, sets, full_sets, percent, least_equal), "near-links")
     linked = linked.union(stored(_across(members, sets, linked, full_sets, percent, least_equal), "near-links"))
 
     parts = connected_components(linked, "a", "b")
     named = sets.join(parts, "node", "left").select(
-        "digest", "low_id", F.coalesce("component", "node").alias("component")
+        "digest", "low_id", "rows", F.coalesce("component", "node").alias("component")
     )
-    lowest = named.groupBy("component").agg(F.min("low_id").alias("component_id"))
-    named = named.join(lowest, "component").select("digest", "component_id")
-    rows = scanned.select("id", "n", "digest").join(named, "digest", "left")
+    lowest = named.groupBy("component").agg(F.min("low_id").alias("component_id"), F.count("*").alias("sets"))
+    named = attach_group_values(named, lowest, "component", "sets", "digest")
+    named = named.select("digest", "component", "component_id", "rows")
+    rows = attach_group_values(scanned.select("id", "n", "digest"), named, "digest", "rows", "id")
     part = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
     kept = F.coalesce(F.col("id") == part, part.isNull())
     return rows.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), part.alias("component_id"), kept.alias("kept")
-    )
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), part.alias("component_id"), kept.alias("kept"),
+        *(["digest", "component"] if detail else []),
+    )
+
+
+def set_digests(rows: DataFrame, text_col: str = "text", words: int = 5) -> DataFrame:
+    """``rows`` with ``digest``, that of each text's set as ``near_duplicates`` gives it; null without words."""
+    names = rows.columns
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for batch in batches:
+            for first, texts in pieces(batch, 1):
+                found = [shingle_hashes(cache.of((t or b"").lower().split()), words) for t in texts]
+                digests = pa.array([xxhash.xxh3_128_digest(f.tobytes()) if len(f) else None for f in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), digests], names=["row", "digest"])
+
+    full = rows.select(packed(rows, names), col(text_col).cast("binary").alias("text"))
+    kind = StructType([full.schema["row"], StructField("digest", BinaryType())])
+    out = full.mapInArrow(scan, kind)
+    return out.select(*unpacked(names), "digest")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], rows_at_once: int = 2 * BLOCK) -> Iterator[pa.Table]:
