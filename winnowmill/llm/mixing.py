@@ -129,6 +129,16 @@ def word_count(text: Column) -> Column:
     return F.when(bare == "", 0).otherwise(F.size(F.split(bare, f"{SPACE_CLASS}+"))).cast("bigint")
 
 
+#: Names of columns that laid-out documents have besides their own.
+RESERVED = ("__source", "__size", "__start")
+
+
+def _freed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with other names for columns that are called like RESERVED ones, and the names by the old ones."""
+    names = {c: f"__own_{i}" if c.lower() in RESERVED or c.lower().startswith("__own_") else c for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def laid_out(docs: DataFrame, source_col: str, text_col: str, run_words: int = RUN_WORDS) -> tuple:
     """Documents with ``size`` (words) and ``start``, their place in the stream of words of their source.
 
@@ -137,8 +147,8 @@ def laid_out(docs: DataFrame, source_col: str, text_col: str, run_words: int = R
     runs give each run's place, and a header row with that place opens it, so one shuffle suffices and
     no task holds a source.
     """
-    names = [unused(docs, n) for n in ("__source", "__size", "__hash", "__run", "__head", "__start")]
-    source, size, hashed, run, head, start = names
+    names = [unused(docs, n) for n in ("__source", "__size", "__hash", "__run", "__head", "__start", "__s", "__n")]
+    source, size, hashed, run, head, start, of, number = names
     measured = docs.select(
         "*",
         col(source_col).cast("string").alias(source),
@@ -149,11 +159,11 @@ def laid_out(docs: DataFrame, source_col: str, text_col: str, run_words: int = R
     )
     totals = stored(measured.groupBy(source).agg(F.sum(size).alias("source_size")), "mixing-sources")
     runs = totals.select(
-        F.col(source).alias("__s"), F.greatest(F.lit(1), F.ceil(F.col("source_size") / run_words)).alias("__n")
+        F.col(source).alias(of), F.greatest(F.lit(1), F.ceil(F.col("source_size") / run_words)).alias(number)
     )
     # One row per source; null is a source.
-    placed = measured.join(runs, F.col(source).eqNullSafe(F.col("__s")))
-    placed = placed.withColumn(run, F.pmod(F.col(hashed), F.col("__n"))).drop("__s", "__n")
+    placed = measured.join(runs, F.col(source).eqNullSafe(F.col(of)))
+    placed = placed.withColumn(run, F.pmod(F.col(hashed), F.col(number))).drop(of, number)
     sums = placed.groupBy(source, run).agg(F.sum(size).alias("words"))
     before = Window.partitionBy(source).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
     heads = sums.select(source, run, F.coalesce(F.sum("words").over(before), F.lit(0)).alias(size))
@@ -257,11 +267,13 @@ def mix(
     """
     outputs = {"shard", "slot", "epoch", "source", "block", "doc_start", "first_word", "n_words", "piece"}
     kept = [c for c in keep if c.lower() not in outputs]
+    docs, names = _freed(docs)
+    source_col, text_col = names[source_col], names[text_col]
     rows, sizes = laid_out(docs, source_col, text_col)
     plan = _planned(sizes, weights, share, block_words)
     chosen = slots(plan.where("slots > 0"), seed, shards)
     flat = rows.select(
-        *[col(c).alias(f"k{i}") for i, c in enumerate(kept)], "__source", "__start", col(text_col).cast("binary").alias("text")
+        *[col(names[c]).alias(f"k{i}") for i, c in enumerate(kept)], "__source", "__start", col(text_col).cast("binary").alias("text")
     )
     names = [f"k{i}" for i in range(len(kept))] + ["__source", "__start"]
     numbers = [StructField(n, LongType()) for n in ("block", "first_word", "n_words")]
@@ -312,6 +324,8 @@ def mix_documents(
     Columns of ``keep`` called ``epoch`` or ``text`` are left out.
     """
     kept = [c for c in keep if c.lower() not in ("epoch", "text")]
+    docs, own = _freed(docs)
+    source_col, text_col = own[source_col], own[text_col]
     rows, sizes = laid_out(docs, source_col, text_col)
     chosen = slots(_planned(sizes, weights, share, block_words).where("slots > 0"), seed, shards)
     low = lambda: F.floor(F.col("__start") / block_words)
@@ -328,7 +342,7 @@ def mix_documents(
     )
     names = ["epoch", *[f"k{i}" for i in range(len(kept))]]
     texts = rows.where("__size > 0").select(
-        "__source", "__start", *[col(c).alias(n) for c, n in zip(kept, names[1:])], col(text_col).cast("binary").alias("text")
+        "__source", "__start", *[col(own[c]).alias(n) for c, n in zip(kept, names[1:])], col(text_col).cast("binary").alias("text")
     )
     joined = texts.join(spans, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__start") == F.col("at")))
     joined = joined.select(*names, "text", "spans")
