@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import col, let, packed, unpacked
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Placeholders of attachments, and how many tokens each stands for.
@@ -81,12 +81,16 @@ def format_turns(
     points from ``loss_start`` (0-based), else no code points.
 
     A null role is empty, null content has no parts. Rows are formatted one by one, without a shuffle,
-    so the length of a conversation does not matter.
+    so the length of a conversation does not matter. Columns of any other name stay, those that are called
+    like an output column are replaced; repeated rows are formatted each. No rows give none.
     """
-    parts = F.coalesce(F.col(content_col), F.array().cast(f"array<{PART}>"))
-    head = F.concat(F.lit(START), _escape_role(F.coalesce(F.col(role_col), F.lit(""))), F.lit("\n"))
+    outputs = ("formatted", "loss_start", "loss_chars", "attachments", "expanded_tokens")
+    kept = [c for c in turns.columns if c.lower() not in outputs]
+    parts = F.coalesce(col(content_col), F.array().cast(f"array<{PART}>"))
+    head = F.concat(F.lit(START), _escape_role(F.coalesce(col(role_col), F.lit(""))), F.lit("\n"))
     flat = F.transform(parts, _flat)
-    rows = turns.select("*", head.alias("__head"), flat.alias("__flat"), parts.alias("__parts"))
+    learns = F.coalesce(col(role_col) == loss_role, F.lit(False))
+    rows = turns.select(packed(turns, kept), head.alias("__head"), flat.alias("__flat"), parts.alias("__parts"), learns.alias("__learned"))
     body = F.array_join("__flat", "")
     length = F.length("__head")
 
@@ -112,9 +116,9 @@ def format_turns(
     )
     only_text = F.forall("__parts", lambda p: ~F.coalesce(p["type"].isin(*PLACEHOLDERS), F.lit(False)))
     nothing = F.array().cast("array<struct<index: int, type: string, ref: string, position: bigint, tokens: bigint>>")
-    learned = F.coalesce(F.col(role_col) == loss_role, F.lit(False))
+    learned = F.col("__learned")
     return rows.select(
-        *[F.col(c) for c in turns.columns],
+        *unpacked(kept),
         F.concat("__head", body, F.lit(f"{END}\n")).alias("formatted"),
         F.when(learned, length).otherwise(0).cast("bigint").alias("loss_start"),
         F.when(learned, F.length(body)).otherwise(0).cast("bigint").alias("loss_chars"),
