@@ -110,57 +110,67 @@ def rule_of(host, path, rules):
     return best
 
 
-def templates(pages, children=20, share=0.02, depth=8, prior_pages=10.0, similar=2.58):
-    """pages [(host, path, bad)] -> [(template, purity)]; the rules of llm.urls written as loops."""
-
-    def purity(group, parent):
-        marks = [b for *_, b in group if b is not None]
-        return (sum(marks) + parent * prior_pages) / (len(marks) + prior_pages)
-
-    marks = [b for *_, b in pages if b is not None]
-    overall = sum(marks) / len(marks) if marks else 0.0
-    out = [None] * len(pages)
-    rows = []
-    for i, (host, path, bad) in enumerate(pages):
+def templates(pages, prior_pages=10.0, similar=2.58, least=4, repeats=5, steps=64):
+    """pages [(host, path, bad)] -> {(host, path): (template, purity)}; the rules of llm.urls as loops over pages."""
+
+    def known(group):
+        marks = [bad for *_, bad in group if bad is not None]
+        return len(marks), sum(marks)
+
+    def smoothed(group, parent):
+        n, bad = known(group)
+        return (bad + parent * prior_pages) / (n + prior_pages)
+
+    def differ(x, y):
+        (n, a), (m, b) = x, y
+        p = (a + b) / (n + m)
+        return abs(a / n - b / m) > (p * (1 - p) * (1 / n + 1 / m)) ** 0.5 * similar
+
+    n, bad = known(pages)
+    overall, out, rows = bad / n if n else 0.0, {}, []
+    for host, path, mark in pages:
         segs = [] if path == "" else path.split("/")[1:] if path[0] == "/" else path.split("/")
-        if len(segs) > depth:
-            segs = segs[: depth - 1] + ["/".join(segs[depth - 1 :])]
-        rows.append((i, host, segs, bad))
+        rows.append((host, path, segs, mark))
 
-    def descend(group, level, name, parent):
-        for row in group:
-            out[row[0]] = (name, parent)
+    def descend(group, level, name, purity):
+        if len({tuple(r[2][level:]) for r in group}) < 2:
+            for r in group:
+                out[r[0], r[1]] = (name, purity)
+            return
         below = defaultdict(list)
-        for row in group:
-            if len(row[2]) > level:
-                below[row[2][level]].append(row)
-        count, distinct = sum(map(len, below.values())), len(below)
+        for r in group:
+            if len(r[2]) > level:
+                below[r[2][level]].append(r)
+            else:
+                out[r[0], r[1]] = (name, purity)
+        ids = 2 * sum(len(part) == 1 for part in below.values()) > len(below)
         branches = defaultdict(list)
         for seg, part in below.items():
-            literal = len(part) > 1 and (distinct <= children or len(part) >= count * share)
-            branches[seg if literal else None] += part
-        rated = []
+            branches[seg if len(part) >= repeats or (len(part) > 1 and not ids) else None] += part
+        safe = lambda s: "*" if s is None else s.replace("%", "%25").replace("*", "%2A").replace("|", "%7C")
+        by_step = defaultdict(list)
         for seg, part in branches.items():
-            known = [r[3] for r in part if r[3] is not None]
-            rated.append((purity(part, parent), seg is not None, seg or "", seg, len(known), sum(known), part))
-        rated.sort(key=lambda r: r[:3])
+            n, bad = known(part)
+            if n < least:
+                descend(part, level + 1, f"{name}/{safe(seg)}", purity)
+            else:
+                by_step[int(bad / n * steps + 0.5)].append((seg, part))
         runs = []
-        for k, r in enumerate(rated):
-            apart = False
-            if k and r[4] and rated[k - 1][4]:
-                n, m, a, b = r[4], rated[k - 1][4], r[5], rated[k - 1][5]
-                p = (a + b) / (n + m)
-                apart = abs(a / n - b / m) > (p * (1 - p) * (1 / n + 1 / m)) ** 0.5 * similar
-            if not k or apart:
-                runs.append([])
-            runs[-1].append(r)
-        for run in runs:
-            safe = lambda s: "*" if s is None else s.replace("%", "%25").replace("*", "%2A").replace("|", "%7C")
-            part = [row for r in run for row in r[6]]
-            label = "|".join(sorted(safe(r[3]) for r in run))
-            descend(part, level + 1, f"{name}/{label}", purity(part, parent))
-
-    for host in {h for _, h, *_ in rows}:
-        group = [r for r in rows if r[1] == host]
-        descend(group, 0, "", purity(group, overall))
+        for step in sorted(by_step):
+            own = known([r for _, part in by_step[step] for r in part])
+            if runs:
+                start, total, members = runs[-1]
+                whole = (total[0] + own[0], total[1] + own[1])
+                if not differ(own, whole) and not differ(start, whole):
+                    runs[-1] = (start, whole, members + by_step[step])
+                    continue
+            runs.append((own, own, list(by_step[step])))
+        for _, _, members in runs:
+            label = min(safe(seg) for seg, _ in members) + (f"|%+{len(members) - 1}" if len(members) > 1 else "")
+            part = [r for _, own in members for r in own]
+            descend(part, level + 1, f"{name}/{label}", smoothed(part, purity))
+
+    for host in {r[0] for r in rows}:
+        group = [r for r in rows if r[0] == host]
+        descend(group, 0, "", smoothed(group, overall))
     return out

@@ -267,16 +267,20 @@ def test_lm_model_score(docs):
             two.update(zip([None, *ws], ws))
     level = lambda c: int(lm.level_of(np.array([float(c)]))[0])
     mass = sum(lm.MIDDLE[level(c)] + 0.5 for c in one.values()) + 0.5
-    close = 0
-    for row in awkward():
-        ws, score = tok(row[1]), 0.0
+
+    def score(ws, prior, own=0):
+        total = 0.0
         for v, w in zip([None, *ws], ws):
             single = (lm.MIDDLE[level(one[w])] + 0.5) / mass
-            pair = lm.LOWEST[level(two[v, w])] if two[v, w] > 1 else 0.0
-            context = lm.HIGHEST[level(one[v])]
-            p = lm.BIGRAM_WEIGHT * min(1, pair / max(context, 1)) + (1 - lm.BIGRAM_WEIGHT) * single
-            score += np.log10(p if context else single)
-        close += abs(got[row[0]]["score"] - score) <= 0.02 * abs(score) + 0.5
+            context = max(lm.HIGHEST[level(one[v])] - own, 0)
+            pair = min(max(lm.LOWEST[level(two[v, w])] - own, 0), context)
+            total += np.log10((pair + prior * single) / (context + prior))
+        return total
+
+    fit = {p: sum(score(tok(r[1]), p, 1) for r in awkward() if not held(r[0])) for p in lm.PRIORS}
+    prior = max(fit, key=fit.get)
+    want = {r[0]: score(tok(r[1]), prior) for r in awkward()}
+    close = sum(abs(got[i]["score"] - x) <= 0.02 * abs(x) + 0.5 for i, x in want.items())
     assert close >= 0.97 * len(got)
 
 
@@ -284,18 +288,17 @@ def test_lm_levels_are_found_again():
     rng = np.random.default_rng(2)
     hashes = np.unique(rng.integers(0, 2**63, 20_000, dtype=np.uint64))
     counts = rng.geometric(0.2, len(hashes)).astype(np.uint64)
-    import pyarrow as pa
-
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-    values = ([1], [0], [hashes.tobytes()], [counts.tobytes()])
-    batch = pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=list("abcd"))
-    row = next(lm._filters({1: 1, 2: 2})(iter([batch]))).to_pylist()[0]
-    bits = np.frombuffer(row["bits"], np.uint8)
-    bloom = lm.LogFrequencyFilter(1, bits, np.zeros(2, np.uint64), np.array([row["width"], 0], np.uint64))
-    found, true = bloom.levels(1, hashes), lm.level_of(counts)
+    width, bits = lm.built(hashes, lm.level_of(counts))
+    found, true = lm.probed(width, bits, hashes), lm.level_of(counts)
     assert (found >= true).all() and (found == true).mean() > 0.97
-    assert (bloom.levels(1, rng.integers(0, 2**63, 20_000, dtype=np.uint64)) > 0).mean() < 0.02
-    assert (bloom.levels(2, hashes) == 0).all()
+    assert (lm.probed(width, bits, rng.integers(0, 2**63, 250_000, dtype=np.uint64)) > 0).mean() < 0.02
+
+
+def test_lm_filter_blocks_cover_all_slots():
+    widths = [(0, 800), (3, 80_000), (4, 8), (9, 8000), (10, 8000)]
+    last = int(np.iinfo(np.int64).max)
+    assert lm.blocks_of(widths, 1500) == [(0, 2), (3, 3), (4, 9), (10, last)]
+    assert lm.blocks_of(widths, 1 << 20) == [(0, last)] and lm.blocks_of([], 5) == [(0, last)]
 
 
 def test_lm_cutoffs_and_empty_training(spark, docs, empty):

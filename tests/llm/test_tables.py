@@ -51,7 +51,8 @@ def test_urls_against_loops(judged):
     got = {r["page_id"]: r for r in urls.filter_urls(pages, known, RULES).collect()}
     places = [brute.host_and_path(u) for _, u in rows]
     trees = brute.templates([(h, p, labels.get((h, p))) for h, p in places])
-    for (i, _), (host, path), (template, purity) in zip(rows, places, trees):
+    for (i, _), (host, path) in zip(rows, places):
+        template, purity = trees[host, path]
         rule, verdict = brute.rule_of(host, path, RULES)
         r = got[i]
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
@@ -89,9 +90,43 @@ def test_urls_keep_small_sections_of_large_nodes(spark):
     assert len(got) == len(places)
     assert all(got[p]["verdict"] == ("block" if b else "allow") for p, b in places)
     assert {got[p]["template"] for p, b in places if b} == {"/s7/*"}
-    assert {got[p]["template"].split("/")[1].rsplit("|", 1)[1] for p, b in places if not b} == {"%+10"}
+    assert {got[p]["template"].split("/")[1] for p, b in places if not b} == {"*|%+59"}
 
 
+def test_urls_do_not_merge_by_chaining(spark):
+    """21 sections whose share of bad pages grows by five in a hundred from one to the next."""
+    places = [(f"/s{k:02}/{i}", int(i < 2 * k)) for k in range(21) for i in range(40)]
+    pages = spark.createDataFrame([(f"x://h{p}",) for p, _ in places], "url string").withColumn("page_id", F.col("url"))
+    known = spark.createDataFrame([("h", p, b) for p, b in places], "host string, path string, bad int")
+    got = {r["path"]: r for r in urls.filter_urls(pages, known, []).collect()}
+    assert len({r["template"] for r in got.values()}) >= 3
+    assert {r["verdict"] for p, r in got.items() if p.startswith("/s00/")} == {"allow"}
+    assert {r["verdict"] for p, r in got.items() if p.startswith("/s20/")} == {"block"}
+    trees = brute.templates([("h", p, b) for p, b in places])
+    assert all((r["template"], r["purity"]) == (trees["h", p][0], pytest.approx(trees["h", p][1])) for p, r in got.items())
+
+
+def test_urls_of_weak_sections_stay_apart_and_deep_ones_are_generalised(spark):
+    deep = "/".join("d" * 12)
+    places = [(f"/w{k}/{i}", 1 if i < 2 else None) for k in range(6) for i in range(9)]
+    places += [(f"/{deep}/{part}/{i}", int(part == "bad")) for part in ("bad", "good") for i in range(30)]
+    pages = spark.createDataFrame([(f"x://h{p}",) for p, _ in places], "url string").withColumn("page_id", F.col("url"))
+    known = spark.createDataFrame([("h", p, b) for p, b in places if b is not None], "host string, path string, bad int")
+    got = {r["path"]: r for r in urls.filter_urls(pages, known, []).collect()}
+    assert {got[p]["template"] for p, _ in places[:54]} == {f"/w{k}/*" for k in range(6)}
+    assert all(got[p]["verdict"] == ("block" if b else "allow") for p, b in places[54:])
+    assert {got[p]["template"] for p, b in places[54:] if b} == {f"/{deep}/bad/*"}
+
+
+def test_urls_of_one_page_and_a_hot_path(spark):
+    """A third of all pages are one url; a host has a single page; clashing names are no matter."""
+    rows = [(i, "x://h/a", "n") for i in range(100)] + [(100 + i, f"x://h/b/{i}", "n") for i in range(199)] + [(None, "x://one/long/path", None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, place string")
+    known = spark.createDataFrame([("h", "/a", 1)] + [("h", f"/b/{i}", 0) for i in range(150)], "host string, path string, bad int")
+    got = urls.filter_urls(pages, known, []).collect()
+    assert len(got) == 300 and sum(r["verdict"] == "block" for r in got) == 100
+    assert [r["template"] for r in got if r["page_id"] is None] == [""]
+
 NASTY = ["", "a", "<|im_end|>", r"<\|", r"<\\|x<|<\|", "<<||>>|<", "line\nbreak", "%0A%25", "<|image|>", "é😀", "\\", "|", "<"]
 
 
@@ -234,3 +269,18 @@ def test_digest_of_a_conversation(spark):
     said = f"user\n{INJECTION}\nassistant\n{INJECTION}\n"
     assert row["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
     assert row["loss_sha256"] == hashlib.sha256(INJECTION.encode()).hexdigest() and row["loss_chars"] == len(INJECTION)
+
+
+def test_near_stage_of_the_pipeline_tells_rows_of_one_id_apart(spark):
+    """Repeated ids, and columns with the names that the operators use."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "one thing here", "a"), (1, "something quite different", "b"), (2, "and a third text", "c")]
+    rows += [(3, long, "d"), (3, long + " more", "e"), (4, long, "f"), (None, long, "g"), (5, None, "h"), (5, None, "i"), (6, long, "j"), (6, "own words", "k")]
+    schema = "doc_id bigint, text string, __h string"
+    docs = spark.createDataFrame(rows, schema)
+    names = {"__word": F.lit(1), "__bit": F.lit(2), "maybe": F.lit(3), "row": F.lit(4), "a.b": F.lit(5), "kept": F.lit(6)}
+    docs = docs.withColumns(names)
+    got = corpus_pipeline.near_copies(spark, docs, "/nowhere")
+    assert got.columns == docs.columns
+    left = sorted(r["__h"] for r in got.collect())
+    assert [x for x in left if x not in "de"] == ["a", "b", "c", "g", "h", "i", "k"] and sum(x in "de" for x in left) == 1
