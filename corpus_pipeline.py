@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from winnowmill.llm.common import col, likely_in, stored, without
 from winnowmill.llm.decontaminate import decontaminate
 from winnowmill.llm.mixing import mix_documents
-from winnowmill.llm.near import near_duplicates
+from winnowmill.llm.near import near_duplicates, set_digests
 from winnowmill.llm.quality import quality_cascade
 from winnowmill.llm.sharding import shard
 
@@ -39,20 +39,37 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more.
 
-    Rows without id cannot be told apart by the decisions and stay. Of rows that repeat an id, one stays.
+    Null and empty texts, and texts of white space, are like nothing and stay, as do rows without id, which the
+    decisions cannot name. Rows that repeat an id are told apart by their texts: unlike ones all stay, of
+    alike ones one does. Texts are compared whole, of any length.
     """
-    found = stored(near_duplicates(docs, "doc_id", "text", words=5, percent=80), "pipeline-near")
-    copies = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    rest = without(docs, "doc_id", stored(copies, "pipeline-copies"))
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-    repeated = stored(repeated.select("doc_id"), "pipeline-repeated")
-    again = likely_in(rest, F.col("doc_id"), repeated)
-    again = again.join(repeated.toDF("__again"), F.col("doc_id") == F.col("__again"), "left_semi")
-    return without(rest, "doc_id", repeated).unionByName(again.dropDuplicates(["doc_id"]))
+    found = stored(near_duplicates(docs, "doc_id", "text", words=5, percent=80, detail=True), "pipeline-near")
+    named = found.where(F.col("doc_id").isNotNull())
+    copies = stored(named.where(~F.col("kept")).select("doc_id").distinct(), "pipeline-copies")
+    repeated = named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = stored(repeated, "pipeline-repeated")
+    once = without(without(docs, "doc_id", repeated), "doc_id", copies)
+    # Rows of repeated ids are decided by id and set.
+    wanted = repeated.toDF("wanted")
+    again = likely_in(docs, col("doc_id"), repeated)
+    again = _packed(again, "doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
+    again = set_digests(again, "text", words=5)
+    verdicts = named.where("digest IS NOT NULL").groupBy("doc_id", "digest").agg(
+        F.first("component").alias("component"), F.first("kept").alias("kept")
+    )
+    verdicts = verdicts.select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), "component", "kept")
+    same = (F.col("doc_id") == F.col("of_id")) & (F.col("digest") == F.col("of_digest"))
+    again = again.join(verdicts, same, "left").where(F.coalesce("kept", F.lit(True)))
+    empty = again.where("digest IS NULL").select("row.*")
+    one = again.where("digest IS NOT NULL").dropDuplicates(["doc_id", "component"]).select("row.*")
+    return once.unionByName(empty).unionByName(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs.
+
+    Null and empty texts have no words and stay; rows that repeat stay all or go all. Texts are read whole.
+    """
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontaminate(_packed(docs, "text"), items, keep=["row"]).where("n_hit = 0").select("row.*")
 
@@ -72,7 +89,10 @@ def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents with ``shard`` and ``slot``."""
+    """All documents with ``shard`` and ``slot``, repeated rows each with its own slot; null and empty texts too.
+
+    A column ``shard`` or ``slot`` of the documents is replaced.
+    """
     return shard(docs, "doc_id", "text", shards=8)
 
 
