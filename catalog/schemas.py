@@ -1,5 +1,6 @@
 """Casts, conformity, profiles and label checks, and the files that carry them."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from winnowmill.functions import typing
@@ -278,6 +279,38 @@ def json_round_trip(spark, sf):
     return readers.read_json_records(spark, path, lines=True, row_id=None).select("conv_id", "turn", "role", "text")
 
 
+def _files_of(rows, per_file: int, key: str):
+    """Rows dealt to files of at most ``per_file`` by their key: ``(part, key, json)``, json being a row's object."""
+    part = F.floor(F.col(key) / per_file).alias("part")
+    return rows.select(part, F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("json"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, text, lang, source, n_chars FROM documents")
+def json_keyed(spark, sf):
+    """Files of one object each, keyed by document, and back through variants."""
+    path = scratch(spark, "keyed")
+    entry = F.concat(F.to_json(F.array("key")).substr(F.lit(2), F.length(F.to_json(F.array("key"))) - 2), F.lit(":"), "json")
+    files = _files_of(table(spark, sf, "documents").withColumn("id", F.lit("x")), 100, "doc_id").groupBy("part")
+    whole = F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ",\n"), F.lit("}")).alias("value")
+    files.agg(whole).write.partitionBy("part").text(path)
+    back = readers.read_json_keyed(spark, path + "/*")
+    return back.select("id", "text", "lang", "source", "n_chars")
+
+
+@query("SELECT conv_id, turn, role, text, conv_id * 1000 + turn - min(conv_id * 1000 + turn) OVER (PARTITION BY conv_id) AS ahead FROM conversations")
+def json_array_with_row_ids(spark, sf):
+    """Files of one array each, a conversation in one; the row ids count on inside a file."""
+    path = scratch(spark, "arrays")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", F.to_json(F.struct("*")).alias("json"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("turn", "json"))), lambda e: e["json"])
+    value = F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("value")
+    rows.groupBy(F.col("conv_id").alias("part")).agg(value).write.partitionBy("part").text(path)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    back = readers.read_json_records(spark, path + "/*", schema).withColumn("id", F.col("id").cast("bigint"))
+    first = Window.partitionBy("conv_id")
+    return back.select("conv_id", "turn", "role", "text", (F.col("id") - F.min("id").over(first)).alias("ahead"))
+
+
 @query("SELECT doc_id, CASE WHEN quality = 0 THEN 'review' ELSE 'fine' END AS clean_label, quality::DOUBLE AS label_quality FROM labels")
 def read_audit_columns(spark, sf):
     path = scratch(spark, "audit") + ".parquet"

@@ -46,6 +46,18 @@ def test_json_keyed(spark, tmp_path):
         assert sorted((r.id, r.x, r.n and list(r.n.k)) for r in df.collect()) == [("r1", 1, [1, 2]), ("r2", 2, None)]
 
 
+def test_json_keyed_with_awkward_fields(spark, tmp_path):
+    rows = {"r 1": {"x": 1, "n": {"k": [1], "a b": 1}, "q'd": 2, "id": 7}, "r2": {"x": None, "y": 2.5, "z": None}, "r3": {}}
+    (tmp_path / "in.json").write_text(json.dumps(rows, indent=1))
+    (tmp_path / "none.json").write_text("{}")
+    got = {r["id"]: r for r in readers.read_json_keyed(spark, str(tmp_path)).collect()}
+    assert set(got) == set(rows)
+    assert got["r 1"]["q'd"] == 2 and got["r 1"]["n"]["a b"] == 1 and got["r2"]["y"] == 2.5
+    assert got["r2"]["z"] is None and got["r3"]["x"] is None
+    some = readers.read_json_keyed(spark, str(tmp_path), "x bigint, y double")
+    assert some.columns == ["x", "y", "id"] and sorted((r.id, r.x, r.y) for r in some.collect()) == [("r 1", 1, None), ("r2", None, 2.5), ("r3", None, None)]
+
+
 def test_formats(spark, tmp_path):
     for bad in ("a.txt", "noending", "b.xyz"):
         with pytest.raises(InvalidInput):

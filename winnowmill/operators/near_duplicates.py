@@ -69,7 +69,8 @@ def _shingles(word_hashes: np.ndarray, ends: np.ndarray, words: int) -> tuple[np
     texts, hashes = [], []
     for width in range(1, words + 1):
         of = np.flatnonzero(length >= words if width == words else length == width)
-        at, runs = _ranges(starts[of], length[of] - width + 1), np.uint64(width)
+        at = _ranges(starts[of], length[of] - width + 1)
+        runs = np.full(len(at), width, np.uint64)
         for j in range(width):
             runs = runs * MIX + word_hashes[at + j]
         texts.append(np.repeat(of, length[of] - width + 1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,14 +56,50 @@ def read_json_records(
     return with_row_position(df.drop(row_id), row_id).withColumn(row_id, F.col(row_id).cast("string"))
 
 
+def _field_types(rows: DataFrame) -> list[tuple[str, str]]:
+    """Names of the fields of all objects in the column ``row``, and a type that holds the values of each."""
+    fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("row").outer()))
+    found = fields.groupBy("key").agg(F.schema_of_variant_agg("value").alias("type")).orderBy("key").collect()
+    # Variants know decimals, records have floating point numbers; a field of nulls only is text.
+    return [
+        (r["key"], "string" if r["type"] == "VOID" else re.sub(r"DECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE", r["type"].replace("OBJECT<", "STRUCT<")))
+        for r in found
+    ]
+
+
 def read_json_keyed(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """One object per file whose keys are row ids; gives the fields of each row and its key as ``id``."""
-    files = spark.read.option("wholetext", True).text(path)
-    entries = files.select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "row"))
+    """One object per file whose keys are row ids; gives the fields of each row and its key as ``id``.
+
+    A file is parsed once, into a variant, and its entries are taken from there. Without ``schema`` the names
+    and types of the fields come from an aggregate over the entries. A field called ``id`` gives way to the
+    key; empty objects and an empty file give no rows.
+    """
+    reader = spark.read.option("singleVariantColumn", "file").option("multiLine", True)
+    files = reader.json(path)
+    entries = files.lateralJoin(spark.tvf.variant_explode(F.col("file").outer())).select(
+        F.col("key").alias("id"), F.col("value").alias("row")
+    )
     if schema is None:
-        schema = spark.read.json(entries.select("row").rdd.map(lambda r: r["row"])).schema
-    row_type = schema if isinstance(schema, str) else schema.simpleString()
-    return entries.select(F.from_json("row", row_type).alias("row"), "id").select("row.*", "id")
+        fields = _field_types(entries)
+    else:
+        # A parsed schema; the names of nested fields stay inside their types.
+        parsed = schema if isinstance(schema, T.StructType) else _parsed(schema)
+        fields = [(f.name, f.dataType.simpleString()) for f in parsed]
+    columns = [F.try_variant_get("row", _path_of(n), t).alias(n) for n, t in fields if n != "id"]
+    return entries.select(*columns, "id")
+
+
+def _path_of(name: str) -> str:
+    if "'" in name and '"' in name:
+        raise InvalidInput(f"a field name with both kinds of quotes cannot be read: {name}")
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
+
+
+def _parsed(schema: str) -> T.StructType:
+    kind = T.DataType.fromDDL(schema)
+    if isinstance(kind, T.StructType) and len(kind) == 1 and kind.fieldNames() == ["value"]:
+        kind = kind[0].dataType
+    return kind
 
 
 # Accepted file endings.
