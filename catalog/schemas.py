@@ -262,6 +262,34 @@ def row_count(spark, sf):
     return readers.row_count(table(spark, sf, "lineitem"))
 
 
+@query("""
+WITH cells AS (
+  SELECT unnest(['text', 'lang', 'source']) AS column_name, unnest([text, lang, source]) AS value FROM documents)
+SELECT column_name, count(*) AS n_rows, (count(*) - count(value)) AS n_null, round(avg(length(value)), 6) AS avg_length,
+       true AS distinct_is_close, true AS median_is_close
+FROM cells GROUP BY column_name
+""")
+def profile_merged(spark, sf):
+    """Profiles of each source's documents, stored and merged; estimates are held against exact counts."""
+    docs = table(spark, sf, "documents")
+    names = ["text", "lang", "source"]
+    path = scratch(spark, "profiles")
+    for remainder in range(3):
+        part = docs.where(F.pmod("doc_id", F.lit(3)) == remainder)
+        schema.profile_sketches(part, names).write.mode("append").parquet(path)
+    merged = schema.read_sketches(schema.merge_sketches(spark.read.parquet(path)), [0.45, 0.55])
+    exact = schema.profile_columns(docs, names).select(F.col("column_name").alias("of"), F.col("n_distinct").alias("exact"))
+    lengths = docs.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.length(c).alias("n")) for c in names])))
+    median = lengths.groupBy("c").agg(F.percentile("n", 0.5).alias("median"))
+    both = merged.join(exact, F.col("column_name") == F.col("of")).join(median, F.col("column_name") == F.col("c"))
+    low, high = F.get("length_quantiles", F.lit(0)), F.get("length_quantiles", F.lit(1))
+    return both.select(
+        "column_name", "n_rows", "n_null", rounded("avg_length").alias("avg_length"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact") + 1).alias("distinct_is_close"),
+        F.col("median").between(low, high).alias("median_is_close"),
+    )
+
+
 # --- files: each table goes out through a writer and comes back through a reader ------------------
 
 

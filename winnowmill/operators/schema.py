@@ -142,6 +142,52 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact:
     )
 
 
+def profile_sketches(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A profile that can be stored and merged: per column counts and sketches of values and text lengths.
+
+    ``(column_name, n_rows, n_null, length_sum, values, lengths)``, one pass over the rows. ``values`` is a
+    HyperLogLog sketch of the distinct values, ``lengths`` a KLL sketch of text lengths; both have a fixed
+    size. Profile a new partition by itself and merge: nothing is scanned again.
+    """
+    cells = _unpivoted(df, list(columns or df.columns)).withColumn("length", F.char_length("value").cast("bigint"))
+    return cells.groupBy("column_name").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("value").isNull()).alias("n_null"),
+        F.sum("length").alias("length_sum"),
+        F.hll_sketch_agg("value", F.lit(14)).alias("values"),
+        F.kll_sketch_agg_bigint("length").alias("lengths"),
+    )
+
+
+def merge_sketches(profiles: DataFrame) -> DataFrame:
+    """One row per column from any number of profiles of different rows, as if all had been profiled together."""
+    return profiles.groupBy("column_name").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_null").alias("n_null"),
+        F.sum("length_sum").alias("length_sum"),
+        F.hll_union_agg("values").alias("values"),
+        F.kll_merge_agg_bigint("lengths").alias("lengths"),
+    )
+
+
+def read_sketches(profiles: DataFrame, quantiles: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """``(column_name, n_rows, n_null, n_distinct, avg_length, length_quantiles)``; distinct values and quantiles are estimates.
+
+    The number of distinct values is off by about 1 %, the rank of a quantile by about 1.5 %; a column of
+    nulls only has no average and no quantiles.
+    """
+    known = F.col("n_rows") > F.col("n_null")
+    asked = F.array(*[F.lit(float(q)) for q in quantiles])
+    return profiles.select(
+        "column_name",
+        "n_rows",
+        "n_null",
+        F.hll_sketch_estimate("values").alias("n_distinct"),
+        F.try_divide(F.col("length_sum").cast("double"), F.col("n_rows") - F.col("n_null")).alias("avg_length"),
+        F.when(known, F.kll_sketch_get_quantile_bigint("lengths", asked)).alias("length_quantiles"),
+    )
+
+
 def label_diversity(df: DataFrame, label: str, min_classes: int = 2, min_per_class: int = 5) -> DataFrame:
     """One row: classes, classes with enough examples, and whether that is enough for training."""
     return (
