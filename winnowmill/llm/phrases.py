@@ -19,7 +19,7 @@ _TABLE = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b
 _BREAK = np.uint64(xxhash.xxh3_64_intdigest(BREAK))
 CHUNK_WORDS = 1 << 19  # words whose n-grams are sorted together; twice as many wait in a task at most
 TEXT_BLOCK = 1 << 20  # bytes of a long text that are split into words at once
-RANGE_BYTES = 8 << 20  # text whose n-grams make one range of prefixes
+RANGE_BYTES = 4 << 20  # text whose n-grams make one range of prefixes
 SAMPLE_BYTES = 16 << 20  # text from which the bounds of ranges are taken; they decide the dealing only
 
 
