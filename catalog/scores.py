@@ -3,7 +3,7 @@
 import time
 
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -401,10 +401,22 @@ def top_labels(spark, sf):
     )
 
 
-@query()
+# Gaussian naive Bayes: its fit is a mean and a variance for each class and dimension.
+@query(f"""
+WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS i FROM embeddings),
+stats AS (SELECT label, i, avg(v) AS m, avg(v * v) - avg(v) * avg(v) AS s FROM x GROUP BY ALL),
+priors AS (SELECT label, ln(count(*)) AS p FROM embeddings GROUP BY label),
+scores AS (
+  SELECT vec_id, stats.label AS c, any_value(p) - sum(0.5 * ln(2 * pi() * s) + (v - m) * (v - m) / (2 * s)) AS l
+  FROM x JOIN stats USING (i) JOIN priors ON priors.label = stats.label GROUP BY ALL),
+probs AS (SELECT vec_id, c, exp(l - max(l) OVER (PARTITION BY vec_id)) AS e FROM scores),
+shares AS (SELECT vec_id, c, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM probs)
+SELECT vec_id, arg_max(c, p) AS predicted_label, {", ".join(f"round(max(p) FILTER (c = {i}), 4) AS p_{i}" for i in range(10))}
+FROM shares GROUP BY vec_id
+""")
 def predict_batch(spark, sf):
     vectors = table(spark, sf, "embeddings").select("vec_id", "label", array_to_vector("embedding").alias("features"))
-    model = LogisticRegression(maxIter=5, regParam=0.1).fit(vectors)
+    model = NaiveBayes(modelType="gaussian").fit(vectors)
     out = predict.predict_batch(vectors, model, list(range(10)), id_col="vec_id")
     return out.select("vec_id", "predicted_label", *[rounded(F.col(str(i)), 4).alias(f"p_{i}") for i in range(10)])
 

@@ -2,6 +2,7 @@
 
 import sys
 import threading
+import time
 
 import pandas as pd
 import pytest
@@ -303,3 +304,44 @@ def test_scoring_options():
 
 def test_failure_carries_its_kind():
     assert ScorerFailure("m").retryable and not BadRequest("m").retryable and RateLimited().retry_after == 1.0
+
+
+def test_a_scorer_that_always_fails_alike_is_not_called_for_every_row():
+    calls = []
+
+    def broken(batch):
+        calls.append(len(batch))
+        raise ValueError("no column x")
+
+    policy = scoring.RetryPolicy(sleep=lambda s: None, alike=4)
+    out = scoring._run_batch(broken, pd.DataFrame({"prompt": ["p"] * 4096}), True, policy)
+    assert len(out) == 4096 and set(out["error_message"]) == {"no column x"} and len(calls) < 60
+
+    def picky(batch):  # good rows between the bad ones: every row gets its own verdict
+        if (batch["prompt"] == "bad").any():
+            raise ValueError("refused")
+        return pd.DataFrame({"response": batch["prompt"]})
+
+    rows = pd.DataFrame({"prompt": ["good", "bad"] * 100})
+    out = scoring._run_batch(picky, rows, True, policy)
+    assert (out["error_message"].notna() == (rows["prompt"] == "bad")).all()
+
+
+def test_rate_limits_and_hanging_calls_are_bounded():
+    waited = []
+    policy = scoring.RetryPolicy(sleep=waited.append, rate_limit_retries=5, timeout=0.05, hung_calls=3)
+
+    def limited(batch):
+        raise scoring.RateLimited("slow down", 1.0)
+
+    out = scoring._run_batch(limited, pd.DataFrame({"prompt": ["p"]}), True, policy)
+    assert len(waited) == 5 and out["error_message"].notna().all()
+    calls = []
+
+    def hanging(batch):
+        calls.append(1)
+        time.sleep(0.4)
+        return pd.DataFrame({"response": batch["prompt"]})
+
+    out = scoring._run_batch(hanging, pd.DataFrame({"prompt": ["p"] * 50}), True, policy)
+    assert len(calls) == 3 and out["error_message"].str.contains("did not end|took longer").all()

@@ -52,19 +52,26 @@ CHARACTERS_PER_TOKEN = 4
 class RetryPolicy:
     """How often a failing row is tried again, and how long to wait in between (seconds).
 
-    ``timeout`` bounds one call of the scorer, ``deadline`` all calls and waits for one batch. Waits for
-    a scorer that cannot be reached are counted for the batch, not for each of its rows.
+    ``timeout`` bounds one call of the scorer, ``deadline`` all calls and waits for one batch; None is no
+    bound. Waits for a scorer that cannot be reached or asks to wait are counted for the batch, not for each
+    of its rows. A call beyond its time goes on in the background: after ``hung_calls`` of them the rest of
+    the batch fails without a call. After ``alike`` single rows in a row that fail with the same message, a
+    part of the batch that fails with it again is not halved: all its rows have failed.
     """
 
     retries: int = 3
     connection_retries: int = 20
     longest_wait: float = 60.0
     sleep: Callable[[float], None] = field(default=time.sleep)
-    timeout: float | None = None
-    deadline: float | None = None
+    timeout: float | None = 600.0
+    deadline: float | None = 7200.0
     clock: Callable[[], float] = field(default=time.monotonic)
+    rate_limit_retries: int = 100
+    hung_calls: int = 8
+    alike: int = 32
 
 
+# The messages below are those that callers compare with.
 def length_error(prompt: Column | str, response: Column | str | None = None, row: Column | str | None = None) -> Column:
     """Error struct for texts beyond the service limits (never worth a retry); null within them."""
 
@@ -131,15 +138,39 @@ class _Waits:
     """The connection failures in a row and the time used so far, for one batch."""
 
     def __init__(self, policy: RetryPolicy):
-        self.policy, self.connection, self.began = policy, 0, policy.clock()
+        self.policy, self.connection, self.limited, self.began = policy, 0, 0, policy.clock()
+        self.hung, self.message, self.times = 0, None, 0
+
+    def call(self, scorer: Scorer, rows: pd.DataFrame) -> pd.DataFrame:
+        try:
+            out = _call(scorer, rows, self.policy)
+        except TimedOut:
+            self.hung += 1
+            raise
+        self.connection = self.limited = 0
+        self.message = None
+        return out
+
+    def failed(self, message: str) -> None:
+        """Counts single rows that fail alike, one after the other."""
+        self.times = self.times + 1 if message == self.message else 1
+        self.message = message
+
+    def hopeless(self, error: Exception) -> bool:
+        return self.message == str(error) and self.times >= self.policy.alike
 
     def check(self) -> None:
+        if self.hung >= self.policy.hung_calls:
+            raise TimedOut(f"{self.hung} calls of the scorer did not end in time")
         if self.policy.deadline is not None and self.policy.clock() - self.began > self.policy.deadline:
             raise TimedOut(f"the batch took longer than {self.policy.deadline} seconds")
 
     def after(self, error: ScorerFailure) -> bool:
         """Waits as the error asks; False if there have been too many waits."""
         if isinstance(error, RateLimited):
+            if self.limited >= self.policy.rate_limit_retries:
+                return False
+            self.limited += 1
             self.policy.sleep(error.retry_after)
             return True
         if self.connection >= self.policy.connection_retries:
@@ -159,8 +190,7 @@ def _scored_once(
         try:
             waits.check()
             attempts += 1
-            out = _call(scorer, row, policy)
-            waits.connection = 0
+            out = waits.call(scorer, row)
             return out.iloc[0], "", False, attempts
         except BadRequest as e:
             return None, e.message, e.retryable, attempts
@@ -187,8 +217,7 @@ def _run_batch(scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: Retry
         if end - start > 1:
             try:
                 waits.check()
-                out = _call(scorer, part, policy).reset_index(drop=True)
-                waits.connection = 0
+                out = waits.call(scorer, part).reset_index(drop=True)
                 out.index = part.index
                 parts.append(out.assign(attempts=1))
                 continue
@@ -196,8 +225,14 @@ def _run_batch(scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: Retry
                 if waits.after(e):
                     open_.append((start, end))
                     continue
-            except Exception:  # which row is to blame shows when a single one fails
-                pass
+            except Exception as e:  # which row is to blame shows when a single one fails
+                if waits.hopeless(e):
+                    retryable = bool(getattr(e, "retryable", True))
+                    if not capture:
+                        raise ScorerFailure(str(e), retryable) from e
+                    cells = {"error_message": str(e), "error_retryable": retryable, "attempts": 1}
+                    parts.append(pd.DataFrame([cells] * len(part), index=part.index, dtype="object"))
+                    continue
             middle = (start + end) // 2
             open_ += [(middle, end), (start, middle)]
             continue
@@ -206,6 +241,7 @@ def _run_batch(scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: Retry
             raise ScorerFailure(message, retryable)
         cells = {} if result is None else result.to_dict()
         if result is None:
+            waits.failed(message)
             cells |= {"error_message": message, "error_retryable": retryable}
         parts.append(pd.DataFrame([cells | {"attempts": attempts}], index=part.index, dtype="object"))
     return pd.concat([p.astype("object") for p in parts]).loc[batch.index] if parts else pd.DataFrame(index=batch.index)
