@@ -350,3 +350,10 @@ def read_audit_columns(spark, sf):
     )
     writers.write_results(stored, path)
     return readers.read_audit_columns(spark, path, "doc_id")
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 3 = 1")
+def load_table(spark, sf):
+    """A table by the name of its connector and options."""
+    found = readers.load_table(spark, "parquet", path=f"{sf}/customer.parquet")
+    return found.where("c_custkey % 3 = 1").select("c_custkey", "c_mktsegment")

@@ -225,15 +225,16 @@ def score_features(spark, sf):
     return out.select("conv_id", "turn", rounded_array("features").alias("features"))
 
 
-# A conversation as two parallel lists, paired again by position.
+# The words of a turn and the same backwards as two parallel lists, paired by position.
 @query("""
-SELECT conv_id, u.turn AS position, u.text AS prompt, u.role AS response FROM conversations u
+SELECT row, unnest(range(len(w))) AS position, unnest(w) AS prompt, unnest(list_reverse(w)) AS response
+FROM (SELECT conv_id * 1000 + turn AS row, string_split(text, ' ') AS w FROM conversations WHERE text IS NOT NULL)
 """)
 def pair_lists(spark, sf):
-    turns = F.sort_array(F.collect_list(F.struct("turn", "text", "role")))
-    lists = table(spark, sf, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
-    columns = lists.select("conv_id", F.col("turns.text").alias("prompts"), F.col("turns.role").alias("responses"))
-    paired = scoring.pair_lists(columns, "prompts", "responses", "conv_id")
+    words = F.split("text", " ")
+    rows = table(spark, sf, "conversations").where("text IS NOT NULL")
+    lists = rows.select((F.col("conv_id") * 1000 + F.col("turn")).alias("row"), words.alias("prompts"), F.reverse(words).alias("responses"))
+    paired = scoring.pair_lists(lists, "prompts", "responses", "row")
     return paired.withColumn("position", F.col("position").cast("bigint"))
 
 

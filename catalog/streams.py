@@ -10,7 +10,7 @@ from .scores import DOC_PROMPT, _score, echo
 
 def _stream(spark, sf, name):
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return streams.stream_records(spark, sf, schema, "parquet", pattern=f"{name}.parquet")
 
 
 def _finished(spark, stream, name):

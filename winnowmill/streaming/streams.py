@@ -17,14 +17,21 @@ from ..operators.scoring import RetryPolicy, Scorer
 
 
 def stream_records(
-    spark: SparkSession, path: str, schema: T.StructType | str, format: str = "csv", files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    format: str = "csv",
+    files_per_batch: int | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
-    """Records of a growing folder of CSV, JSON lines or Parquet files."""
+    """Records of a growing folder of CSV, JSON lines or Parquet files, of all or those whose names fit ``pattern``."""
     reader = spark.readStream.schema(schema).format(format)
     if format == "csv":
         reader = reader.option("header", True).option("escape", '"')
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     return reader.load(path)
 
 
