@@ -67,7 +67,7 @@ class RetryPolicy:
     deadline: float | None = 7200.0
     clock: Callable[[], float] = field(default=time.monotonic)
     rate_limit_retries: int = 100
-    hung_calls: int = 8
+    hung_calls: int = 1000
     alike: int = 32
 
 
