@@ -60,7 +60,7 @@ def cast_datetime(col: Column | str, patterns: Sequence[str] = ()) -> Column:
     """
     text = F.trim(_as_column(col).cast("string"))
     seconds = F.timestamp_micros((text.try_cast("double") * 1_000_000).try_cast("bigint"))
-    # "2015-02-24 11:35:52 -0800" -> "2015-02-24 11:35:52-08:00"
+    # "2018-10-07 04:10:11 -0500" -> "2018-10-07 04:10:11-05:00"
     iso = F.regexp_replace(text, r"^(\d+-\d+-\d+[ T]\d\S*)\s*([+-]\d{2}):?(\d{2})$", "$1$2:$3")
     usual = F.when(text.rlike(r"^[+-]?\d+(\.\d*)?([eE]\+?\d+)?$"), seconds).when(
         text.rlike(r"^\d{4}-\d{1,2}"), iso.try_cast("timestamp")
