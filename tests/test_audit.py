@@ -59,6 +59,26 @@ def test_cells_that_cannot_hold_a_neighbour_are_skipped(spark):
     assert visits < 0.3 * len(data) * len(pivots)
 
 
+def test_vectors_without_clusters_are_visited_by_groups(spark, monkeypatch):
+    """No cell can be ruled out, yet what is kept of the visits does not grow with rows times cells."""
+    data = np.random.default_rng(8).standard_normal((600, 16))
+    data[500:] = data[3]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id bigint, v array<double>")
+    kept = {}
+
+    def written(table, name, write=neighbors.written):
+        out = write(table, name)
+        kept[name] = out.count()
+        return out
+
+    monkeypatch.setattr(neighbors, "written", written)
+    got = {}
+    for r in sorted(neighbors.nearest_neighbors(df, "id", "v", 5, cell_rows=10, block_rows=64).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["id"], []).append(r["neighbor_id"])
+    assert got == brute(data, 5)
+    assert kept["neighbor-visits"] <= 600
+
+
 def test_hashed_neighbours_find_most(spark):
     rng = np.random.default_rng(4)
     centers = rng.standard_normal((20, 16)) * 3
