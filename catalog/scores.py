@@ -12,7 +12,7 @@ from winnowmill.functions import probabilities
 from winnowmill.operators import calibrate, enrich, predict, scoring, trust
 from winnowmill.plans.lineage import durable
 
-from .registry import SQUARE_CLASSES, SQUARES, query, rounded, rounded_array, square_probs, table
+from .registry import SQUARE_CLASSES, SQUARES, query, rounded, rounded_array, spread, square_probs, table
 
 NO_WAIT = scoring.RetryPolicy(sleep=lambda seconds: None)
 
@@ -264,7 +264,7 @@ FROM part
 """)
 def retry_policy(spark, sf):
     scored = scoring.score_prompts(
-        table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", _flaky(), "capture", policy=NO_WAIT,
+        spread(table(spark, sf, "part").select("p_partkey", "p_name")), "p_name", _flaky(), "capture", policy=NO_WAIT,
         attempts_col="attempts",
     )
     error = F.col("scored.log.error")
@@ -307,7 +307,7 @@ def input_validation(spark, sf):
     """Rows that never reach the scorer: no prompt, or one that is too long."""
     kind = F.col("p_partkey") % 3
     text = F.when(kind == 1, F.repeat(F.lit("x"), 280_001)).when(kind == 2, F.col("p_name"))
-    rows = table(spark, sf, "part").select("p_partkey", text.alias("prompt"))
+    rows = spread(table(spark, sf, "part").select("p_partkey", "p_name")).select("p_partkey", text.alias("prompt"))
     scored = scoring.score_prompts(rows, "prompt", echo, "capture", policy=NO_WAIT)
     error = F.col("scored.log.error")
     return scored.select("p_partkey", error["message"].alias("error"), error["retryable"].alias("retryable"))

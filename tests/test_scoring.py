@@ -5,6 +5,7 @@ import threading
 import time
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -345,3 +346,33 @@ def test_rate_limits_and_hanging_calls_are_bounded():
 
     out = scoring._run_batch(hanging, pd.DataFrame({"prompt": ["p"] * 50}), True, policy)
     assert len(calls) == 3 and out["error_message"].str.contains("did not end|took longer").all()
+
+
+def test_a_scorer_gets_long_texts_in_parts_and_nothing_it_must_not_see(spark):
+    """Texts of 5 MB become rows of Python part by part; prompts beyond the limits stay out of Python."""
+
+    def sizes(batch):
+        score = pd.Series(float(batch["prompt"].str.len().sum() <= scoring.SLICE_BYTES), index=batch.index)
+        return pd.DataFrame({"response": batch["prompt"].str[:3], "trustworthiness_score": score})
+
+    rows = spark.range(40, numPartitions=1).select("id", F.repeat(F.lit("é"), F.when(F.col("id") < 3, 300_000).otherwise(250_000)).alias("p"))
+    got = scoring.score_prompts(rows, "p", sizes, "capture").collect()
+    assert len(got) == 40
+    for r in got:
+        assert r.scored.response == (None if r.id < 3 else "é" * 3)
+        assert r.scored.trustworthiness_score == (None if r.id < 3 else 1.0)
+
+
+def test_parts_of_a_batch_hold_all_rows_in_order():
+    texts = pa.array(["a" * 10, None, "b" * 100, "c", "", "d" * 9, None])
+    parts = list(scoring.slices([texts, pa.array(range(7))], most=12))
+    assert [t for p in parts for t in p[0].to_pylist()] == texts.to_pylist()
+    assert [i for p in parts for i in p[1].to_pylist()] == list(range(7))
+    assert len(parts) > 3 and list(scoring.slices([pa.array([], pa.string())])) == []
+
+
+def test_rows_of_a_small_file_are_scored_on_all_cores(spark):
+    from catalog.registry import spread
+
+    rows = spread(spark.range(1000, numPartitions=1))
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= 8 and rows.distinct().count() == 1000

@@ -313,7 +313,7 @@ def constrain_outputs(
         return picked
     listed = options if isinstance(options, Column) else F.array(*[F.lit(o) for o in options])
     # Texts that name an option are null for the function, so that only the others are rated.
-    closest = _per_pair(_closest_of, "string")(F.when(found.isNull(), text), listed)
+    closest = _per_pair(_closest_of, "string")(F.when(found.isNull(), text), F.when(found.isNull(), listed))
     return F.coalesce(picked, closest)
 
 

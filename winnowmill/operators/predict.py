@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.probabilities import class_array, predicted_label, predicted_label_set
+from .scoring import slices
 
 Predictor = Callable[[pd.Series], pd.Series]
 
@@ -52,10 +54,15 @@ def predict_batch(
         scored = model.transform(df).withColumn("__probs", vector_to_array("probability"))
     else:
 
-        def run(values: pd.Series) -> pd.Series:
-            return model(values).map(lambda p: [float(x) for x in p])
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                # A batch of long texts becomes rows of Python part by part.
+                for (values,) in slices([batch]):
+                    found = model(values.to_pandas()).map(lambda p: [float(x) for x in p])
+                    yield pa.array(found.to_list(), pa.list_(pa.float64()))
 
-        call = F.pandas_udf(run, returnType="array<double>")
+        run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        call = F.arrow_udf(run, returnType="array<double>")
         scored = df.withColumn("__probs", call(F.col(input_col)))
     kept = [id_col] if id_col else df.columns
     return with_predictions(

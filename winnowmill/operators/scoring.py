@@ -14,10 +14,13 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +43,18 @@ _FLAT_TYPE = (
     "error_message string, error_retryable boolean, attempts int"
 )
 _FLAT_COLUMNS = [p.split()[0] for p in _FLAT_TYPE.split(", ")]
+_FLAT_ARROW = [
+    pa.field("response", pa.string()),
+    pa.field("trustworthiness_score", pa.float64()),
+    pa.field("perplexity", pa.float64()),
+    pa.field("explanation", pa.string()),
+    pa.field("custom_eval_criteria", pa.list_(pa.struct([("name", pa.string()), ("score", pa.float64())]))),
+    pa.field("error_message", pa.string()),
+    pa.field("error_retryable", pa.bool_()),
+    pa.field("attempts", pa.int32()),
+]
+# Bytes of a batch that are rows of Python at once; a batch of short rows is one part.
+SLICE_BYTES = 4 << 20
 
 # Service limits in tokens, and characters counted per token.
 MAX_PROMPT_TOKENS = 70_000
@@ -204,13 +219,16 @@ def _scored_once(
             general += 1
 
 
-def _run_batch(scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: RetryPolicy) -> pd.DataFrame:
+def _run_batch(
+    scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: RetryPolicy, waits: _Waits | None = None
+) -> pd.DataFrame:
     """Score a batch in one call; a part that fails is halved, so that one bad row costs few calls.
 
     While the scorer cannot be reached or asks to wait, the same part is tried again, not its rows one
     by one. Each row of the result has its number of calls as the part that settled it saw them.
     """
-    waits, parts, open_ = _Waits(policy), [], [(0, len(batch))]
+    waits, parts, open_ = waits or _Waits(policy), [], [(0, len(batch))]
+    single: dict = {}  # rows settled one by one
     while open_:
         start, end = open_.pop()
         part = batch.iloc[start:end]
@@ -243,36 +261,59 @@ def _run_batch(scorer: Scorer, batch: pd.DataFrame, capture: bool, policy: Retry
         if result is None:
             waits.failed(message)
             cells |= {"error_message": message, "error_retryable": retryable}
-        parts.append(pd.DataFrame([cells | {"attempts": attempts}], index=part.index, dtype="object"))
+        single[part.index[0]] = cells | {"attempts": attempts}
+    if single:
+        parts.append(pd.DataFrame(list(single.values()), index=list(single), dtype="object"))
     return pd.concat([p.astype("object") for p in parts]).loc[batch.index] if parts else pd.DataFrame(index=batch.index)
 
 
+def slices(columns: Sequence[pa.Array], most: int = SLICE_BYTES) -> Iterator[list[pa.Array]]:
+    """Runs of rows of parallel columns with about ``most`` bytes; at least a row each."""
+    rows = len(columns[0])
+    sizes = np.zeros(rows, np.int64)
+    for c in columns:
+        if pa.types.is_string(c.type) or pa.types.is_large_string(c.type):
+            sizes += pc.fill_null(pc.binary_length(c), 0).to_numpy()
+        elif rows:
+            sizes += c.nbytes // rows
+    ends, start = np.cumsum(sizes), 0
+    while start < rows:
+        end = max(start + 1, int(np.searchsorted(ends, most + (ends[start - 1] if start else 0), side="right")))
+        yield [c.slice(start, end - start) for c in columns]
+        start = end
+
+
 def _scorer_expression(scorer: Scorer, names: list[str], capture: bool, policy: RetryPolicy):
-    """Column function over ``active`` and the named inputs; inactive rows never reach the scorer."""
-
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for active, *inputs in batches:
-            rows = pd.concat(inputs, axis=1, keys=names) if inputs else pd.DataFrame(index=active.index)
-            chosen = rows[active.astype(bool)]
-            out = pd.DataFrame(index=rows.index, columns=_FLAT_COLUMNS, dtype="object")
-            if len(chosen):
-                scored = _run_batch(scorer, chosen, capture, policy)
-                for name in _FLAT_COLUMNS:
-                    if name in scored:
-                        values = scored[name].astype("object")
-                        plain = values.map(lambda v: None if isinstance(v, float) and v != v else v)
-                        out.loc[chosen.index, name] = plain
-            for name in ("trustworthiness_score", "perplexity"):
-                out[name] = pd.to_numeric(out[name])
-            out["custom_eval_criteria"] = out["custom_eval_criteria"].map(_criteria)
-            out = out.astype({"error_retryable": "boolean", "attempts": "Int32"})
-            yield out
+    """Column function over ``active`` and the named inputs; inactive rows never reach the scorer.
+
+    A batch becomes rows of Python in parts of SLICE_BYTES, which share the batch's waits and limits.
+    """
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            waits = _Waits(policy)
+            for active, *inputs in slices(columns):
+                rows = pd.DataFrame({n: c.to_pandas() for n, c in zip(names, inputs)}, index=pd.RangeIndex(len(active)))
+                chosen = rows[active.to_numpy(zero_copy_only=False).astype(bool)]
+                out = pd.DataFrame(index=rows.index, columns=_FLAT_COLUMNS, dtype="object")
+                if len(chosen):
+                    scored = _run_batch(scorer, chosen, capture, policy, waits)
+                    for name in _FLAT_COLUMNS:
+                        if name in scored:
+                            values = scored[name].astype("object")
+                            plain = values.map(lambda v: None if isinstance(v, float) and v != v else v)
+                            out.loc[chosen.index, name] = plain
+                out["custom_eval_criteria"] = out["custom_eval_criteria"].map(_criteria)
+                for name in ("trustworthiness_score", "perplexity"):
+                    out[name] = pd.to_numeric(out[name])
+                fields = [pa.array(out[f.name], f.type, from_pandas=True) for f in _FLAT_ARROW]
+                yield pa.StructArray.from_arrays(fields, fields=list(_FLAT_ARROW))
 
     run.__annotations__ = {
-        "batches": Iterator[tuple[pd.Series, ...]],
-        "return": Iterator[pd.DataFrame],
+        "batches": Iterator[tuple[pa.Array, ...]],
+        "return": Iterator[pa.Array],
     }
-    return F.pandas_udf(run, returnType=_FLAT_TYPE).asNondeterministic()
+    return F.arrow_udf(run, returnType=_FLAT_TYPE).asNondeterministic()
 
 
 def _criteria(value):
@@ -355,7 +396,8 @@ def _score(
         )
     call = _scorer_expression(scorer, list(inputs), capture, policy)
     runs = F.col("__error").isNull() if active is None else F.col("__error").isNull() & active
-    staged = staged.withColumn("__flat", call(runs, *[F.col(c) for c in inputs.values()]))
+    # What the scorer must not see, such as a prompt beyond the limits, stays in the JVM.
+    staged = staged.withColumn("__flat", call(runs, *[F.when(runs, F.col(c)) for c in inputs.values()]))
     flat = F.col("__flat")
     response = F.col(inputs["response"]) if "response" in inputs else flat["response"]
     result = _result(flat, response, F.col("__error"))
