@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from winnowmill.errors import BadRequest, ConnectionFailed, InvalidInput, NotCalibrated, RateLimited, ScorerFailure
-from winnowmill.operators import calibrate, enrich, scoring, trust
+from winnowmill.operators import calibrate, enrich, predict, scoring, trust
 
 # The scorers below travel to the workers by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -376,3 +376,13 @@ def test_rows_of_a_small_file_are_scored_on_all_cores(spark):
 
     rows = spread(spark.range(1000, numPartitions=1))
     assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= 8 and rows.distinct().count() == 1000
+
+
+def test_a_model_gets_texts_in_parts_and_gives_null_for_what_is_no_number(spark):
+    def model(texts):
+        share = texts.str.len() / 4e6
+        return pd.Series([[s, 1.0 - s] for s in share], index=texts.index)
+
+    rows = spark.range(12, numPartitions=1).select("id", F.when(F.col("id") != 5, F.repeat(F.lit("x"), 1_000_000)).alias("t"))
+    got = predict.predict_batch(rows, model, ["a", "b"], input_col="t", id_col="id").collect()
+    assert {r.id: (r.a, r.b, r.predicted_label) for r in got} == {i: (None,) * 3 if i == 5 else (0.25, 0.75, "b") for i in range(12)}

@@ -59,7 +59,7 @@ def predict_batch(
                 # A batch of long texts becomes rows of Python part by part.
                 for (values,) in slices([batch]):
                     found = model(values.to_pandas()).map(lambda p: [float(x) for x in p])
-                    yield pa.array(found.to_list(), pa.list_(pa.float64()))
+                    yield pa.array(found, pa.list_(pa.float64()), from_pandas=True)
 
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
         call = F.arrow_udf(run, returnType="array<double>")
