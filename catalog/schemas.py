@@ -332,6 +332,8 @@ def json_array_with_row_ids(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", F.to_json(F.struct("*")).alias("json"))
     listed = F.transform(F.sort_array(F.collect_list(F.struct("turn", "json"))), lambda e: e["json"])
     value = F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("value")
+    # The bytes are few, the files many: adaptive execution would let one task write them all.
+    rows = rows.repartition(4 * spark.sparkContext.defaultParallelism, "conv_id")
     rows.groupBy(F.col("conv_id").alias("part")).agg(value).write.partitionBy("part").text(path)
     schema = "conv_id bigint, turn bigint, role string, text string"
     back = readers.read_json_records(spark, path + "/*", schema).withColumn("id", F.col("id").cast("bigint"))
