@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from winnowmill.errors import InvalidInput
 from winnowmill.operators import audit, near_duplicates, neighbors
+from winnowmill.plans import block_join
 
 
 @pytest.fixture(scope="module")
@@ -210,6 +211,52 @@ def test_many_texts_that_share_a_rare_shingle_stay_apart(spark):
     assert sum(c is not None for c in got.values()) == sum(c is not None for c in want.values())
 
 
+def test_sets_travel_only_where_a_pair_may_be_alike(spark, monkeypatch):
+    """Pairs of texts with some 275 of 325 shingles in common share many keys and are not alike: no set is sent for each key."""
+    rng, texts = random.Random(6), {}
+    for pair in range(30):
+        words = [f"p{pair}w{i}" for i in range(304)]
+        for half in range(2):
+            own = list(words)
+            for at in rng.sample(range(0, 300, 7), 5 * half):
+                own[at] = f"e{pair}h{half}a{at}"
+            texts[len(texts)] = " ".join(own)
+    texts[len(texts)] = texts[0] + " more"
+    sent, links = [], block_join.links
+    monkeypatch.setattr(block_join, "links", lambda dealt, *rest: (sent.append(dealt.count()), links(dealt, *rest))[1])
+    df = spark.createDataFrame(sorted(texts.items()), "id bigint, t string").repartition(5)
+    got = {r.id: r.near_duplicate_cluster_id for r in near_duplicates.near_duplicates(df, "id", "t", threshold=0.9).collect()}
+    assert got == brute_clusters(texts, 0.9)
+    assert got[0] == 0 and sum(sent) <= len(texts)
+
+
+def test_ids_that_occur_twice_are_linked_like_others(spark):
+    texts = {i: t for i, t in corpus().items() if i < 150 and t}
+    rows = sorted(texts.items())
+    df = spark.createDataFrame(rows + rows, "id bigint, t string").repartition(5)
+    got = near_duplicates.near_duplicates(df, "id", "t", threshold=0.7).select("id", "near_duplicate_cluster_id").distinct().collect()
+    known = {i: c for i, c in brute_clusters(texts, 0.7).items() if c is not None}
+    assert {r.id: r.near_duplicate_cluster_id for r in got} == {i: known.get(i, i) for i in texts}
+
+
+@pytest.mark.parametrize("percent", [70, 80, 100])
+def test_sketches_leave_no_alike_pair_out(spark, percent):
+    rng, sets = random.Random(9), {}
+    base = [rng.getrandbits(64) - (1 << 63) for _ in range(700)]
+    for i in range(150):
+        size = rng.choice([1, 3, 63, 64, 65, 127, 300, 512, 513, 700])
+        sets[i] = set(base[:size]) - set(rng.sample(base[:size], rng.randrange(size // 5 + 1))) | {rng.getrandbits(60) for _ in range(size // 20)}
+    rows = spark.createDataFrame([(i, sorted(v, key=lambda h: h % (1 << 64))) for i, v in sets.items()], "node bigint, hashes array<bigint>")
+    maybe = near_duplicates._maybe_alike(percent)(near_duplicates._sketches(rows).orderBy("node").toArrow())
+    alike = near_duplicates._alike(percent)(rows.orderBy("node").toArrow())
+    some = refused = 0
+    for p in range(150):
+        may, are = maybe(p, np.arange(150)), alike(p, np.arange(150))
+        assert not (are & ~may).any()
+        some, refused = some + int(are.sum()), refused + int((~may).sum())
+    assert some > 150 * (percent < 100) and refused > 1000
+
+
 # --- audit columns -------------------------------------------------------------------------------
 
 CLASSES = ["a", "b", "c"]
