@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -360,3 +361,17 @@ def test_lm_chunks_of_any_size_give_the_same(docs, monkeypatch):
     small = by_id(lm.score_documents(docs))
     assert small.keys() == whole.keys()
     assert all(small[i]["score"] == pytest.approx(r["score"], rel=1e-9) for i, r in whole.items())
+
+
+@pytest.mark.parametrize("order", [1, 2])
+def test_lm_ngrams_travel_as_differences(order):
+    """15,000 n-grams of a chunk in one slot: fewer bytes than the numbers have, and the same numbers again."""
+    hashes = np.unique(np.random.default_rng(order).integers(0, 2**64, 15_000, dtype=np.uint64))
+    if order == 2:
+        hashes = np.sort(hashes & lm.KEPT)
+    for some in (hashes, hashes[:1], hashes[:0]):
+        blob = lm._narrow(order, some)
+        assert (lm._wide(pa.py_buffer(blob), order == 1) == some).all()
+    assert order == 1 or len(lm._narrow(2, hashes)) < 0.8 * 5 * len(hashes)
+    counts = np.arange(1, 300, dtype=np.uint32) ** 3
+    assert (lm._restored(pa.py_buffer(lm._squeezed(counts, 4)), 4, np.uint32) == counts).all()
