@@ -80,6 +80,24 @@ def test_vectors_without_clusters_are_visited_by_groups(spark, monkeypatch):
     assert kept["neighbor-visits"] <= 600
 
 
+def test_tables_with_a_row_per_vector_are_not_collected_for_a_broadcast(spark, monkeypatch, capsys):
+    """Copies of one vector make files far smaller than their rows; only the places of cells and the visits of groups go through the driver."""
+    df = spark.range(2000).select("id", F.array(*[F.lit(float(x)) for x in (3, 1, 2)]).alias("v"))
+    sent = {}
+
+    def written(table, name, write=neighbors.written):
+        capsys.readouterr()
+        table.explain()
+        sent[name] = capsys.readouterr().out.count("BroadcastExchange")
+        return write(table, name)
+
+    monkeypatch.setattr(neighbors, "written", written)
+    rows = neighbors.nearest_neighbors(df, "id", "v", 5, cell_rows=500).where("rank = 5").collect()
+    assert {r.id: r.neighbor_id for r in rows} == {i: 4 + (i < 5) for i in range(2000)}
+    # Bounds: the places, once. Own: the places for queries and for the cells of groups, and these cells.
+    assert sent["neighbor-bounds"] == 1 and sent["neighbor-own"] == 3
+
+
 def test_hashed_neighbours_find_most(spark):
     rng = np.random.default_rng(4)
     centers = rng.standard_normal((20, 16)) * 3

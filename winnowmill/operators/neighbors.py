@@ -328,7 +328,8 @@ def _exact(queries: DataFrame | None, vectors: DataFrame, total: int, k: int, bl
     own = _met(asking.withColumn("bound", F.lit(None).cast("double")), placed, pairs, pivots, radii, True, k, block_rows)
     best = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbor_id"))
     own = written(own.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "neighbor-own")
-    bounds = own.where(F.col("rank") == k).select("id", F.col("similarity").alias("bound"))
+    # A row per query: the small files of alike rows must not have Spark collect it to the driver for a broadcast.
+    bounds = own.where(F.col("rank") == k).select("id", F.col("similarity").alias("bound")).hint("shuffle_merge")
     bounded = written(asking.join(bounds, "id", "left"), "neighbor-bounds")
     pairs = written(_reached(bounded, pivots, radii, "g").distinct(), "neighbor-visits")
     others = _met(bounded, placed, pairs, pivots, radii, False, k, block_rows)
